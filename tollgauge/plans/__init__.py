@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("money_queries",)
+MODULES = ("money_queries", "listing_queries", "check_queries", "response_queries",
+           "ledger_queries", "answer_queries")
 
 
 def all_queries():

@@ -289,6 +289,9 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        # generated methods above 8000 bytes are never compiled to machine code by the JVM;
+        # below the limit Spark splits wide projections instead
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", 8000)
 
     def __call__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:

@@ -23,10 +23,8 @@ def tape(t: Tables):
 def second_chain_tape(t: Tables):
     rows = flows.inflow_to(t("transfers").where("chain = 'solana'"), t("tracked"))
     per = flows.tape_aggregate(rows, ["date"])
-    hosts = t("supplier").select(
-        t("tracked").columns[0]) if False else t.spark.sql(
-        "select address, case when k % 10 = 9 then '?' else 'api' || k || '.example.com' end as host from {w}",
-        w=wallet_keys(t))
+    hosts = wallet_keys(t).select("address", F.when(F.col("k") % 10 == 9, "?").otherwise(
+        F.concat(F.lit("api"), F.col("k").cast("string"), F.lit(".example.com"))).alias("host"))
     return per.withColumnRenamed("payee", "address").join(hosts, "address")
 
 
