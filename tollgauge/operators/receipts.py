@@ -7,7 +7,7 @@ from tollgauge import fixed_values as fixed
 from tollgauge.functions.numbers import to_bool
 from tollgauge.functions.text import has_any
 from tollgauge.operators.ranks import first_per
-from tollgauge.operators.shapes import json_shape, judge_shape, shape_text
+from tollgauge.operators.shapes import document, json_shape, judge_shape, kind_of, shape_text
 
 ID_PREFIX = "rcpt_"
 LOGICAL_KEY = ["kind", "url", "metric", "ts"]
@@ -135,6 +135,7 @@ def verify_delivery(ledger: DataFrame, captures: DataFrame) -> DataFrame:
     pointed = rows.where("raw_file IS NOT NULL").select(
         "receipt_id", F.col("raw_file").alias("file"), "url", F.col("tx").alias("_tx"))
     kept = captures.join(pointed.select("file", "url").distinct(), ["file", "url"], "left_semi")
+    kept = kept.where(F.coalesce(kind_of(document(kept, "payload")) != "null", F.lit(False)))
     first = first_per(kept.select("file", "url", "tx", "line", "payload"),
                       ["file", "url", "tx"], F.col("line"))
     raw = json_shape(first, "payload", out="raw_shape").select(

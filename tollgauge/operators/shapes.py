@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgauge import fixed_values as fixed
 from tollgauge.functions.numbers import epoch_seconds, half_even, temperature_unit, to_number
@@ -19,6 +20,13 @@ MAX_KEYS = 40
 NO_TEXT = "array<string>"
 
 
+def document(df: DataFrame, col: str) -> Column:
+    """The parsed response: a variant column as it is, a text column parsed."""
+    if isinstance(df.schema[col].dataType, T.VariantType):
+        return F.col(col)
+    return F.try_parse_json(col)
+
+
 def as_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
@@ -65,14 +73,14 @@ def json_shape(df: DataFrame, col: str, depth: int = 3, out: str = "shape") -> D
             F.concat(node["path"], F.lit("/" + ELEMENT)).alias("path"), x.alias("v")))
         return F.coalesce(fields, first, F.slice(F.array(node), 1, 0))
 
-    root = F.array(F.struct(F.lit("").alias("path"), F.try_parse_json(col).alias("v")))
+    root = F.array(F.struct(F.lit("").alias("path"), document(df, col).alias("v")))
     work = df.withColumn("_l0", root)
     for level in range(1, depth + 1):
         work = work.withColumn(f"_l{level}", F.flatten(F.transform(f"_l{level - 1}", children)))
     nodes = F.concat(*[F.col(f"_l{level}") for level in range(depth + 1)])
     shape = F.array_sort(F.transform(nodes, lambda n: F.struct(
         n["path"].alias("path"), kind_of(n["v"]).alias("type"))))
-    parsed = F.try_parse_json(col).isNotNull()
+    parsed = document(df, col).isNotNull()
     return work.select(*df.columns, F.when(parsed, shape).alias(out))
 
 
@@ -114,7 +122,7 @@ def _delivered(document: Column) -> Column:
 
 def delivered_fields(df: DataFrame, col: str, out: str = "fields") -> DataFrame:
     """Keys at the top, one level into objects, and of the first record of any list."""
-    return df.withColumn(out, F.array_sort(_delivered(F.try_parse_json(col))))
+    return df.withColumn(out, F.array_sort(_delivered(document(df, col))))
 
 
 def _verdict(is_object: Column, keys: Column, got: Column, expect: Column) -> Column:
@@ -145,8 +153,7 @@ def judge(df: DataFrame, col: str, expect: str = "expect", prefix: str = "") ->
     A response that cannot be read, or an error object that carries at most a fifth of the
     promise, is inconclusive; only a real response that lacks fields is short.
     """
-    doc = F.try_parse_json(col)
-    parsed = df.withColumn("_doc", doc)
+    parsed = df.withColumn("_doc", document(df, col))
     v = F.col("_doc")
     judged = parsed.withColumn("_j", _verdict(
         kind_of(v) == "object", _top_keys(v), _delivered(v), F.col(expect)))
@@ -194,7 +201,7 @@ def json_nodes(df: DataFrame, col: str, depth: int = 6, out: str = "nodes") -> D
         return F.coalesce(fields, items, F.slice(F.array(node), 1, 0))
 
     root = F.array(F.struct(F.lit("").alias("path"), F.lit(None).cast("string").alias("key"),
-                            F.try_parse_json(col).alias("v")))
+                            document(df, col).alias("v")))
     work = df.withColumn("_l0", root)
     for level in range(1, depth + 1):
         work = work.withColumn(f"_l{level}", F.flatten(F.transform(f"_l{level - 1}", children)))
@@ -224,9 +231,10 @@ def find_payment(df: DataFrame, col: str, depth: int = 6, out: str = "tx") -> Da
 
 def split_envelope(df: DataFrame, col: str = "stdout") -> DataFrame:
     """Client envelope to (ok, payload, paid, tx, price, status, error). A success carries
-    data and metadata; anything else carries error details."""
+    data and metadata; anything else carries error details. The payload stays a variant, so its
+    numbers keep their form and it is not parsed again."""
     doc = F.try_parse_json(col)
-    work = find_payment(df.withColumn("_env", doc), col, out="_tx").withColumn("_ok", F.coalesce(
+    work = find_payment(df.withColumn("_env", doc), "_env", out="_tx").withColumn("_ok", F.coalesce(
         F.try_variant_get("_env", "$.success", "boolean"), F.lit(False)))
 
     def text(path):
@@ -246,7 +254,8 @@ def split_envelope(df: DataFrame, col: str = "stdout") -> DataFrame:
                    F.col("_tx").isNotNull()))
     return work.select(
         *df.columns, ok.alias("ok"),
-        F.when(ok, text("$.data")).otherwise(text("$.error.details.body")).alias("payload"),
+        F.when(ok, F.try_variant_get("_env", "$.data", "variant")).otherwise(
+            F.try_variant_get("_env", "$.error.details.body", "variant")).alias("payload"),
         F.coalesce(paid, F.lit(False)).alias("paid"),
         F.when(ok, text("$.metadata.payment.transactionHash")).otherwise(
             F.coalesce(text("$.error.details.payment.transactionHash"), F.col("_tx"))).alias("tx"),
@@ -353,7 +362,7 @@ def classify_screen(df: DataFrame, col: str, nodes: str = "nodes") -> DataFrame:
         F.filter(nodes, lambda n: n["key"].isNotNull() & (n["kind"] == "boolean")),
         lambda n: F.struct(n["path"].alias("path"), vote(n).alias("vote")))
     decided = F.array_min(F.filter(votes, lambda v: v["vote"].isNotNull()))["vote"]
-    doc = F.try_parse_json(col)
+    doc = document(df, col)
     blob = F.lower(F.to_json(doc))
     words = (
         F.when(has_any(blob, fixed.SCREEN_HIGH_RISK), "flagged")

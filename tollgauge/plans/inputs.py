@@ -112,7 +112,7 @@ _PAYLOADS = [
     "'null'",
     "'{{\"result\":{{\"inner\":{{\"price\":' || " + PRICE_TEXT.format(c="oc") + " || ',\"block_number\":' || (30000000 + o_orderkey) || "
     "',\"gasPrice\":\"0.0' || (o_orderkey % 9 + 1) || '\"}},\"temp_c\":21.5,\"sanctioned\":' || "
-    "(case when o_custkey % 2 = 0 then 'true' else 'false' end) || '}},\"screened\":true,\"id\":7}}'",
+    "(case when o_custkey % 2 = 0 then 'true' else 'false' end) || '}},\"screened\":true,\"timestamp\":' || (1700000000 + o_orderkey) || '000,\"id\":7}}'",
 ]
 _PROMISES = {
     "1-URGENT": "price,symbol,ts", "2-HIGH": "price,symbol", "3-MEDIUM": "balance,price,symbol,updated",

@@ -1 +1,216 @@
-"""Registered queries."""
+"""Registered queries: accuracy grading, receipts and the ledger."""
+
+from pyspark.sql import functions as F
+
+from tollgauge import fixed_values as fixed
+from tollgauge.operators import accuracy, receipts, shapes
+from tollgauge.operators.shapes import json_nodes, numeric_candidates
+from tollgauge.plans.inputs import Tables
+from tollgauge.plans.oracle_parts import quoted
+from tollgauge.plans.registry import query
+from tollgauge.plans.response_queries import rows as conformance_of
+from tollgauge.plans.response_queries import settled
+
+TS = "1998-12-31"
+
+
+# ---- accuracy ---------------------------------------------------------------------------
+def config(t: Tables):
+    """One accuracy rule per part type."""
+    return t("part").select(F.col("p_type").alias("category")).distinct().select(
+        "category", F.lit("pct").alias("kind"), F.lit(0.5).alias("band"), F.lit(500.0).alias("tol"),
+        F.lit("bps").alias("unit"), F.lit(1.0).alias("lo"), F.lit(1e6).alias("hi"))
+
+
+def graded(t: Tables):
+    return accuracy.grade(t("quotes").select("category", "host", "url", "quoted", "ref", "payload"), config(t))
+
+
+@query("grade_values", "graded", "select url, category, value, field, dev from graded")
+def _(t):
+    return graded(t).select("url", "category", "value", "field", "dev")
+
+
+@query("reference_value", "quotes", "select category, median(ref) as ref from quotes group by category")
+def _(t):
+    return accuracy.reference_value(t("quotes").select("category", F.col("ref").alias("value")))
+
+
+@query("accuracy_summary", "graded", """
+    select category, count(*) as called, count(value) as usable, (list_sort(list(abs(dev)) filter (value is not null)))[count(value) // 2 + 1] as median_abs_dev,
+      arg_min(host, (-abs(dev), host, url)) filter (value is not null) as worst_host, max(abs(dev)) as worst_dev from graded group by category""")
+def _(t):
+    return accuracy.accuracy_summary(graded(t))
+
+
+@query("accuracy_board", "graded", """
+    select category, host, url, value, dev, quoted, abs(dev) as abs_dev, case when abs(dev) <= 500 then 'accurate' else 'off' end as verdict from graded where value is not null""")
+def _(t):
+    return accuracy.accuracy_board(graded(t)).drop("unit")
+
+
+@query("most_accurate", "graded", """
+    select host, url, value, dev, row_number() over (order by abs(dev), quoted, url) as rank from graded where value is not null and category = 'ECONOMY'
+    order by abs(dev), quoted, url limit 10""")
+def _(t):
+    return accuracy.most_accurate(graded(t), "ECONOMY", 10).select("host", "url", "value", "dev", "rank")
+
+
+@query("nearest_absolute", "quotes", """
+    select url, case when abs(returned - ref) <= 100 then returned end as value from quotes""")
+def _(t):
+    rows = json_nodes(t("quotes"), "payload").withColumn("band", F.lit(100.0)).withColumn("kind", F.lit("abs"))
+    found = shapes.nearest(numeric_candidates(rows, lo=1.0, hi=1e6), "ref", "band", "kind")
+    return found.select("url", "value")
+
+
+# ---- accuracy receipts --------------------------------------------------------------------
+def graded_claims(t: Tables):
+    return graded(t).select(
+        "url", "host", "quoted", (F.col("quoted") > 0.002).alias("paid"),
+        F.concat("category", F.lit(" price")).alias("metric"), F.col("value").alias("returned"),
+        F.col("ref").alias("truth"), F.lit("retail list").alias("truth_source"),
+        F.col("dev").alias("dev_value"), F.col("tol").alias("tol_value"), "unit", "field",
+        F.lit(TS).alias("ts"))
+
+
+_ACC = """
+    with a as (select url, host, quoted > 0.002::double as paid, category || ' price' as metric, value as returned, ref as truth, dev as dev_value, field,
+      case when value is null then 'inconclusive' when abs(dev) <= 500 then 'accurate' else 'off' end as status from graded)"""
+
+
+@query("accuracy_receipts", "graded", _ACC + """
+    select url, metric, returned, dev_value, field, status, case status when 'inconclusive' then 'no value returned to grade'
+      when 'accurate' then 'within tolerance of the primary source' else 'outside tolerance of the primary source' end as why from a""")
+def _(t):
+    return receipts.receipts_from(graded_claims(t), "stock").select(
+        "url", "metric", "returned", "dev_value", "field", "status", "why")
+
+
+@query("daily_feed_receipts", "graded", _ACC + "select url, metric, status from a where returned is not null")
+def _(t):
+    return receipts.receipts_from(graded_claims(t), "lab").select("url", "metric", "status")
+
+
+@query("guard_field", "quotes", """
+    select url, case when n3 = 0 then null else returned end as returned,
+      case when n3 = 0 then 'could not isolate a spot-price field; the closest match in the response was .data.volume24h, which is not a price' end as note from quotes""")
+def _(t):
+    named = t("quotes").select("url", "returned", F.lit(1.0).alias("dev_value"), F.when(
+        F.col("n3") == 0, ".data.volume24h").otherwise(".last").alias("field"))
+    return receipts.guard_field(named).select("url", "returned", "note")
+
+
+@query("price_receipts", "graded", _ACC + """
+    select url, case when field = '.data.last' then status else status end as status from a""")
+def _(t):
+    return receipts.receipts_from(graded_claims(t), "price").select("url", "status")
+
+
+@query("verify_accuracy", "graded", _ACC + """
+    select url, status, true as integrity, true as verdict from a""")
+def _(t):
+    made = receipts.receipts_from(graded_claims(t), "stock")
+    checked = receipts.verify_accuracy(made)
+    return checked.join(made.select("receipt_id", "url"), "receipt_id").select(
+        "url", "status", "integrity", "verdict")
+
+
+# ---- delivery receipts --------------------------------------------------------------------
+def captures(t: Tables):
+    return t("captures")
+
+
+def delivery(t: Tables):
+    return receipts.delivery_receipts(settled(t), captures(t), TS)
+
+
+@query("link_capture_first", "calls", """
+    select url, 'raw_' || day || '.jsonl' as raw_file, o_orderkey as raw_line from calls""")
+def _(t):
+    calls = t("calls").select("url", F.col("paid_tx").alias("tx"))
+    return receipts.link_capture_first(calls, captures(t)).select("url", "raw_file", "raw_line")
+
+
+@query("link_capture_last", "calls", """
+    select url, case when o_custkey % 9 = 0 then 'raw_9999-01-01.jsonl' else 'raw_' || day || '.jsonl' end as raw_file, paid_tx as raw_tx from calls""")
+def _(t):
+    return receipts.link_capture_last(t("calls").select("url"), captures(t)).select("url", "raw_file", "raw_tx")
+
+
+@query("delivery_receipts", "settled", f"""
+    select url, status, why, missing, extra, why = '{fixed.WHY_CONFIRMED}' as reverified,
+      case when why = '{fixed.WHY_CONFIRMED}' or contains(why, 're-verify') then 'two-call reconcile' else 'single call' end as decided_by,
+      'raw_' || day || '.jsonl' as raw_file from settled""")
+def _(t):
+    return delivery(t).select("url", "status", "why", "missing", "extra", "reverified", "decided_by", "raw_file")
+
+
+_KIND = "case type when 'OBJECT' then 'object' when 'ARRAY' then 'array' when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'NULL' then 'null' when 'DOUBLE' then 'number' else 'integer' end"
+
+
+@query("content_id", "calls", """
+    select url, 'rcpt_' || substr(sha256('{"host":"' || host || '","note":null,"price":"' || asked || '","promised":["' || replace(promise, ',', '","') || '"]}'), 1, 16) as id from calls""")
+def _(t):
+    facts = F.struct("host", F.lit(None).cast("string").alias("note"), F.col("asked").alias("price"),
+                     F.split("promise", ",").alias("promised"))
+    return t("calls").select("url", receipts.content_id(facts).alias("id"))
+
+
+_VERIFIED = f"""
+    with x as (select s.url, s.status, s.why, s.v,
+        case when contains(s.why, 're-verify') then null else
+          (case when c.v = 8 then 'inconclusive' else c.jstatus end) = s.status end as verdict from settled s join verdicts c using (url))"""
+
+
+@query("verify_receipts", "settled verdicts", _VERIFIED + """
+    select url, status, true as integrity, verdict, case when v not in (7, 8) then true end as raw from x""")
+def _(t):
+    made = delivery(t)
+    checked = receipts.verify_delivery(made, captures(t))
+    return checked.join(made.select("receipt_id", "url"), "receipt_id").select(
+        "url", "status", "integrity", "verdict", "raw")
+
+
+@query("tampered_receipts", "settled", """
+    select url, promised_n <> 1 as broken from (select url, len(want) as promised_n from settled)""")
+def _(t):
+    made = delivery(t)
+    cut = made.withColumn("promised", F.slice("promised", 1, 1))
+    checked = receipts.verify_delivery(cut, captures(t))
+    return checked.join(made.select("receipt_id", "url"), "receipt_id").select(
+        "url", (~F.col("integrity")).alias("broken"))
+
+
+@query("ledger_self_check", "settled verdicts graded", _VERIFIED + """,
+      a as (select case when value is null then 'inconclusive' when abs(dev) <= 500 then 'accurate' else 'off' end as status from graded)
+    select (select count(*) from x) + (select count(*) from a) as receipts, (select count(*) from x) + (select count(*) from a) as integrity_ok,
+      (select count(verdict) from x) + (select count(*) from a) as verdicts_checked, (select count(*) filter (verdict) from x) + (select count(*) from a) as verdicts_ok,
+      (select count(*) filter (not verdict) from x) as mismatches,
+      (select count(*) filter (status in ('delivered', 'short')) from x) + (select count(*) filter (status in ('accurate', 'off')) from a) as claims,
+      (select count(*) filter (status in ('delivered', 'short')) from x) + (select count(*) filter (status in ('accurate', 'off')) from a) as claims_reproduced""")
+def _(t):
+    one = receipts.verify_delivery(delivery(t), captures(t))
+    two = receipts.verify_accuracy(receipts.receipts_from(graded_claims(t), "stock"))
+    return receipts.ledger_self_check(one.unionByName(two))
+
+
+def ledger_pair(t: Tables):
+    """A ledger of first verdicts, and the receipts of the re-verified short calls."""
+    before = receipts.delivery_receipts(conformance_of(t), captures(t), TS)
+    late = settled(t).where(F.col("why").isin(fixed.WHY_CLEARED, fixed.WHY_CONFIRMED, fixed.WHY_UNCONFIRMED))
+    return before, receipts.delivery_receipts(late, captures(t), TS)
+
+
+@query("supersede", "settled", "select url, status, why from settled")
+def _(t):
+    before, fresh = ledger_pair(t)
+    return receipts.supersede(before, fresh).select("url", "status", "why")
+
+
+@query("receipt_summary", "settled calls", """
+    with p as (select s.status, case when s.v <> 8 then ltrim(asked, '$')::double end as ch, least(round_even(s.quoted * 1.25::double + 0.0001::double, 6), 0.01::double) as cap from settled s join calls using (url))
+    select 'delivery' as kind, status, count(*) as n, count(*) as with_raw,
+      coalesce(sum(case when status = 'short' and ch <= cap * 2 then ch::decimal(20, 8) end), 0)::double as paid_for_short from p group by status""")
+def _(t):
+    return receipts.receipt_summary(delivery(t))
