@@ -305,7 +305,7 @@ def _(t):
 _AG = "(coalesce(tool, '') <> '' and coalesce(client, 'unknown') not in (" + ", ".join(f"'{c}'" for c in fixed.TOOLING_CLIENTS) + ", 'acme-own'))"
 
 
-@query("agent_hits", "hits", f"select strftime(at, '%Y-%m-%d') as day, tool, client, count(*) as n from hits where {_AG} group by all")
+@query("agent_hits", "hits", f"select strftime(hit_ts, '%Y-%m-%d') as day, tool, client, count(*) as n from hits where {_AG} group by all")
 def _(t):
     day = F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd")
     return usage.agent_hits(t.hits(), ["acme-own"]).groupBy(day.alias("day"), "tool", "client").agg(
@@ -316,7 +316,7 @@ def _(t):
     with h as (select *, {_AG} as agent from hits)
     select 'tool' as dimension, tool as value, count(*) as n, count(*) filter (agent) as agent_n from h where tool is not null group by tool
     union all select 'client', coalesce(client, 'unknown'), count(*), count(*) filter (agent) from h group by 2
-    union all select 'day', strftime(at, '%Y-%m-%d'), count(*), count(*) filter (agent) from h group by 2
+    union all select 'day', strftime(hit_ts, '%Y-%m-%d'), count(*), count(*) filter (agent) from h group by 2
     union all select * from (select 'subject', subject, count(*), count(*) filter (agent) from h group by 2 order by 3 desc, 2 limit 25)""")
 def _(t):
     return usage.usage_counters(t.hits(), ["acme-own"], 25)

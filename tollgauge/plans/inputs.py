@@ -231,7 +231,7 @@ DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
           from {{lineitem}} join {{part}} on l_partkey = p_partkey
           group by 1, 2, 3, 4)"""),
     "hits": (("events",), f"""
-        select event_id, ts as at, case when user_id % 23 = 0 then null else event_type end as tool,
+        select event_id, ts as hit_ts, case when user_id % 23 = 0 then null else event_type end as tool,
           'u' || user_id as subject,
           {_case('user_id % 6', _text(['cline', 'curl', 'python', 'node']) + ['null'], "'acme-own'")} as client
         from {{events}}"""),
@@ -337,7 +337,7 @@ class Tables:
 
     def hits(self) -> DataFrame:
         return self("hits").select(
-            F.unix_millis(F.col("at").cast("timestamp")).alias("ts"), "tool", "subject", "client")
+            F.unix_millis(F.col("hit_ts").cast("timestamp")).alias("ts"), "tool", "subject", "client")
 
     def readings(self) -> DataFrame:
         as_counts = lambda c: F.transform_values(

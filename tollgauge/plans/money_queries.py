@@ -110,10 +110,10 @@ def _(t):
 
 
 @query("sample_velocity", "transfers", """
-    with both as (
+    with sides as (
         select payee as address, payer, payee, units, ts, seq from transfers
         union all select payer, payer, payee, units, ts, seq from transfers where payer <> payee),
-      s as (select *, row_number() over (partition by address order by ts desc, seq desc) as rn from both),
+      s as (select *, row_number() over (partition by address order by ts desc, seq desc) as rn from sides),
       f as (select address, count(*) as sampled, count(*) filter (payee = address) as settlements,
           count(distinct payer) filter (payee = address) as unique_payers, sum(units) filter (payee = address) as units,
           min(ts) filter (payee = address) as first_ts, max(ts) filter (payee = address) as last_ts
@@ -140,10 +140,10 @@ def wallet_history(t: Tables):
 
 
 @query("velocity_rollup", "transfers services", """
-    with both as (
+    with sides as (
         select payee as address, payer, payee, units, ts, seq from transfers
         union all select payer, payer, payee, units, ts, seq from transfers where payer <> payee),
-      s as (select *, row_number() over (partition by address order by ts desc, seq desc) as rn from both),
+      s as (select *, row_number() over (partition by address order by ts desc, seq desc) as rn from sides),
       f as (select address, count(*) as sampled, count(*) filter (payee = address) as n,
           count(distinct payer) filter (payee = address) as up, sum(units) filter (payee = address) / 1e6 as usd,
           greatest(1e-9, (max(ts) filter (payee = address) - min(ts) filter (payee = address)) / 3600) as h,
