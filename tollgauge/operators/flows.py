@@ -60,13 +60,18 @@ def tape_aggregate(transfers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count("*").alias("n"), F.sum("units").alias("u"),
         F.min("block").alias("b0"), F.max("block").alias("b1"))
     total = F.sum("u")
+    # exact while squares fit 38 digits, which any real amount does; otherwise in doubles
+    square = F.try_multiply(F.col("u"), F.col("u"))
+    rough = F.col("u").cast("double")
+    squares = F.coalesce(F.when(F.count(square) == F.count("*"), F.try_sum(square)).cast("double"),
+                         F.sum(rough * rough))
     shape = pairs.groupBy(*keys).agg(
         F.sum("n").alias("settlements"),
         total.alias("units"),
         F.count("*").alias("unique_payers"),
         F.count_if(F.col("n") > 1).alias("repeat_payers"),
         _share(F.max("u"), total).alias("top_payer_share"),
-        F.sum(F.col("u") * F.col("u")).alias("_sq"),
+        squares.alias("_sq"),
         F.min("b0").alias("first_block"), F.max("b1").alias("last_block"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("u"), "payer"))
     top5 = (pairs.select(*keys, "payer", "u").withColumn("rn", rank).where("rn <= 5")
@@ -78,7 +83,7 @@ def tape_aggregate(transfers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         half_even(usd(F.col("units")), 6).alias("usdc"),
         "unique_payers", "repeat_payers", "top_payer_share",
         _share(F.col("_u5"), F.col("units")).alias("top5_payer_share"),
-        half_even(F.col("_sq").cast("double") / total_sq, 4).alias("payer_hhi"),
+        half_even(F.col("_sq") / total_sq, 4).alias("payer_hhi"),
         "first_block", "last_block")
 
 

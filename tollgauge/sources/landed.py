@@ -74,11 +74,14 @@ def write_ledger(df: DataFrame, path: str) -> None:
 
 def read_hits(spark: SparkSession, folder: str) -> DataFrame:
     """Usage log lines; from the first unreadable line on, a file's lines are dropped."""
-    rows = (spark.read.schema(schemas.HIT).option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("pathGlobFilter", "hits-*.json*").json(folder)
-            .select("*", F.col("_metadata.file_path").alias("_f"),
-                    F.struct(F.col("_metadata.file_block_start").alias("b"),
-                             F.monotonically_increasing_id().alias("i")).alias("_at")))
+    lines = (spark.read.option("pathGlobFilter", "hits-*.json*").text(folder)
+             .where(F.trim("value") != "")
+             .select(F.from_json("value", schemas.HIT, {"columnNameOfCorruptRecord": "_corrupt_record"})
+                     .alias("h"),
+                     F.col("_metadata.file_path").alias("_f"),
+                     F.struct(F.col("_metadata.file_block_start").alias("b"),
+                              F.monotonically_increasing_id().alias("i")).alias("_at")))
+    rows = lines.select("h.*", "_f", "_at")
     bad = rows.where("_corrupt_record IS NOT NULL").groupBy("_f").agg(F.min("_at").alias("_bad"))
     kept = rows.join(bad, "_f", "left").where(
         "_corrupt_record IS NULL AND (_bad IS NULL OR _at < _bad)")
