@@ -132,20 +132,18 @@ def verify_delivery(ledger: DataFrame, captures: DataFrame) -> DataFrame:
     the same file, URL and transaction, which stays valid when files are split differently.
     """
     rows = judge_shape(ledger, "shape", "promised", prefix="re_")
-    pointed = rows.where("raw_file IS NOT NULL").select(
-        "receipt_id", F.col("raw_file").alias("file"), "url", F.col("tx").alias("_tx"))
-    kept = captures.join(pointed.select("file", "url").distinct(), ["file", "url"], "left_semi")
-    kept = kept.where(F.coalesce(kind_of(document(kept, "payload")) != "null", F.lit(False)))
-    first = first_per(kept.select("file", "url", "tx", "line", "payload"),
-                      ["file", "url", "tx"], F.col("line"))
-    raw = json_shape(first, "payload", out="raw_shape").select(
-        "file", "url", "tx", shape_text(F.col("raw_shape")).alias("raw_observed"))
-    same = ((pointed["file"] == raw["file"]) & (pointed["url"] == raw["url"])
-            & pointed["_tx"].eqNullSafe(raw["tx"]))
-    derived = pointed.join(raw, same).select("receipt_id", "raw_observed")
+    readable = captures.where(F.coalesce(kind_of(document(captures, "payload")) != "null", F.lit(False)))
+    first = first_per(readable.select("file", "url", "tx", "line", "payload"),
+                      ["file", "url", "tx"], F.col("line")).select(
+        F.col("file").alias("_f"), F.col("url").alias("_u"), F.col("tx").alias("_t"),
+        F.col("payload").alias("_payload"))
+    same = ((F.col("raw_file") == F.col("_f")) & (F.col("url") == F.col("_u"))
+            & F.col("tx").eqNullSafe(F.col("_t")))
+    linked = json_shape(rows.join(first, same, "left"), "_payload", out="_raw_shape").withColumn(
+        "raw_observed", shape_text(F.col("_raw_shape")))
     settled = F.col("why").contains("re-verify")
-    return rows.join(derived, "receipt_id", "left").select(
-        "receipt_id", "kind", "host", "status",
+    return linked.select(
+        "receipt_id", "kind", "host", "url", "status",
         (content_id(delivery_evidence()) == F.col("receipt_id")).alias("integrity"),
         F.when(~settled, F.col("re_status") == F.col("status")).alias("verdict"),
         F.when(F.col("raw_observed").isNotNull(),
@@ -155,7 +153,7 @@ def verify_delivery(ledger: DataFrame, captures: DataFrame) -> DataFrame:
 def verify_accuracy(ledger: DataFrame) -> DataFrame:
     again = accuracy_status(F.col("returned"), F.col("dev_value"), F.col("tol_value"))
     return ledger.select(
-        "receipt_id", "kind", "host", "status",
+        "receipt_id", "kind", "host", "url", "status",
         (content_id(accuracy_evidence()) == F.col("receipt_id")).alias("integrity"),
         (again == F.col("status")).alias("verdict"), F.lit(None).cast("boolean").alias("raw"))
 

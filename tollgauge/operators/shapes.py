@@ -35,14 +35,23 @@ def as_list(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
+KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean",
+         "VOID": "null", "BIGINT": "integer", "DECIMAL": "number", "DOUBLE": "number",
+         "FLOAT": "number"}
+
+
 def kind_of(value: Column) -> Column:
-    """Type name of a JSON value; null when there is no document."""
-    t = F.schema_of_variant(value)
-    return (
-        F.when(t.isNull(), F.lit(None).cast("string"))
-        .when(t.startswith("OBJECT"), "object").when(t.startswith("ARRAY"), "array")
-        .when(t == "STRING", "string").when(t == "BOOLEAN", "boolean").when(t == "VOID", "null")
-        .when(t == "BIGINT", "integer").otherwise("number"))
+    """Type name of a JSON value; null when there is no document. Written as one lookup, since
+    inside lambdas every mention of the value's schema would be computed again."""
+    table = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    head = F.split_part(F.split_part(F.schema_of_variant(value), F.lit("<"), F.lit(1)),
+                        F.lit("("), F.lit(1))
+    return F.try_element_at(table, head)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, by binding it to a lambda variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _escaped(key: Column) -> Column:
@@ -60,13 +69,14 @@ def json_shape(df: DataFrame, col: str, depth: int = 3, out: str = "shape") -> D
     containers at the depth limit stay closed. Null when the text is not JSON.
     """
     def children(node: Column) -> Column:
-        obj = as_object(node["v"])
-        keys = F.slice(F.array_sort(F.map_keys(obj)), 1, MAX_KEYS)
-        entries = F.when(
-            F.size(obj) > MAX_KEYS,
-            F.filter(F.map_entries(obj), lambda e: F.array_contains(keys, e["key"])),
-        ).otherwise(F.map_entries(obj))
-        fields = F.transform(entries, lambda e: F.struct(
+        def entries(obj: Column) -> Column:
+            keys = F.slice(F.array_sort(F.map_keys(obj)), 1, MAX_KEYS)
+            return F.when(
+                F.size(obj) > MAX_KEYS,
+                F.filter(F.map_entries(obj), lambda e: F.array_contains(keys, e["key"])),
+            ).otherwise(F.map_entries(obj))
+
+        fields = F.transform(_once(as_object(node["v"]), entries), lambda e: F.struct(
             F.concat(node["path"], F.lit("/"), _escaped(e["key"])).alias("path"),
             e["value"].alias("v")))
         first = F.transform(F.slice(as_list(node["v"]), 1, 1), lambda x: F.struct(
@@ -155,8 +165,10 @@ def judge(df: DataFrame, col: str, expect: str = "expect", prefix: str = "") ->
     """
     parsed = df.withColumn("_doc", document(df, col))
     v = F.col("_doc")
-    judged = parsed.withColumn("_j", _verdict(
-        kind_of(v) == "object", _top_keys(v), _delivered(v), F.col(expect)))
+    read = parsed.withColumn("_k", F.map_keys(as_object(v))).withColumn("_g", _delivered(v))
+    keys = F.coalesce("_k", F.array().cast(NO_TEXT))
+    judged = read.withColumn("_j", _verdict(
+        F.col("_k").isNotNull(), keys, F.col("_g"), F.col(expect)))
     return _spread(judged, df.columns, prefix)
 
 
@@ -207,11 +219,11 @@ def json_nodes(df: DataFrame, col: str, depth: int = 6, out: str = "nodes") -> D
         work = work.withColumn(f"_l{level}", F.flatten(F.transform(f"_l{level - 1}", children)))
 
     def described(level: int) -> Column:
-        return F.transform(f"_l{level}", lambda n: F.struct(
-            n["path"].alias("path"), n["key"].alias("key"), kind_of(n["v"]).alias("kind"),
-            F.when(~kind_of(n["v"]).isin("object", "array"),
+        return F.transform(f"_l{level}", lambda n: _once(kind_of(n["v"]), lambda kind: F.struct(
+            n["path"].alias("path"), n["key"].alias("key"), kind.alias("kind"),
+            F.when(~kind.isin("object", "array"),
                    F.try_variant_get(n["v"], "$", "string")).alias("text"),
-            F.lit(level).alias("depth")))
+            F.lit(level).alias("depth"))))
 
     nodes = F.concat(*[described(level) for level in range(1, depth + 1)])
     return work.select(*df.columns, nodes.alias(out))

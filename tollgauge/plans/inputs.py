@@ -295,10 +295,19 @@ class Tables:
 
     def __call__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self._spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
         deps, text = DERIVED[name]
         return self.spark.sql(text, **{d: self(d) for d in deps})
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """A table that is one small file would be read by one task, however many cores there
+        are. Only then are its rows spread; a scan that already has enough tasks stays as it is
+        and no exchange is added."""
+        cores = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() * 2 > cores:
+            return df
+        return df.repartition(cores)
+
     # -- inputs with nested columns ------------------------------------------------------
     def raw_logs(self, chain: str = "base") -> DataFrame:
         rows = self("transfers").where(F.col("chain") == chain)

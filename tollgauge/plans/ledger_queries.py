@@ -111,9 +111,7 @@ def _(t):
     select url, status, true as integrity, true as verdict from a""")
 def _(t):
     made = receipts.receipts_from(graded_claims(t), "stock")
-    checked = receipts.verify_accuracy(made)
-    return checked.join(made.select("receipt_id", "url"), "receipt_id").select(
-        "url", "status", "integrity", "verdict")
+    return receipts.verify_accuracy(made).select("url", "status", "integrity", "verdict")
 
 
 # ---- delivery receipts --------------------------------------------------------------------
@@ -166,19 +164,15 @@ _VERIFIED = f"""
 @query("verify_receipts", "settled verdicts", _VERIFIED + """
     select url, status, true as integrity, verdict, case when v not in (7, 8) then true end as raw from x""")
 def _(t):
-    made = delivery(t)
-    checked = receipts.verify_delivery(made, captures(t))
-    return checked.join(made.select("receipt_id", "url"), "receipt_id").select(
+    return receipts.verify_delivery(delivery(t), captures(t)).select(
         "url", "status", "integrity", "verdict", "raw")
 
 
 @query("tampered_receipts", "settled", """
     select url, promised_n <> 1 as broken from (select url, len(want) as promised_n from settled)""")
 def _(t):
-    made = delivery(t)
-    cut = made.withColumn("promised", F.slice("promised", 1, 1))
-    checked = receipts.verify_delivery(cut, captures(t))
-    return checked.join(made.select("receipt_id", "url"), "receipt_id").select(
+    cut = delivery(t).withColumn("promised", F.slice("promised", 1, 1))
+    return receipts.verify_delivery(cut, captures(t)).select(
         "url", (~F.col("integrity")).alias("broken"))
 
 
