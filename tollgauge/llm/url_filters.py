@@ -19,7 +19,7 @@ HOST_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "exampl
 #: fixed values: patterns that speak where no host rule fits; ^ is a separator or an end
 PATTERN_RULES = (("block", "^casino^"), ("block", "^bets^"), ("block", "^pills^"), ("block", "^porn^"),
                  ("block", "^xxx^"), ("block", "^viagra^"), ("block", "^escort^"), ("block", "^torrent^"),
-                 ("block", "^warez^"), ("block", "^adult^chat^"), ("allow", "^casino^history^"))
+                 ("block", "^warez^"), ("block", "^adult^"), ("block", "^ads^track^"), ("allow", "^casino^history^"))
 DEFAULT_VERDICT = "allow"
 
 _SEPARATOR = r"(?:^|$|[^A-Za-z0-9])"
