@@ -1,8 +1,9 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from tollgauge.llm import source_mixing, url_filters
+from tollgauge.llm import simhash_dedup, source_mixing, url_filters
 
 QUERIES = {
+    "op1_simhash_near_dedup": simhash_dedup.query,
     "op2_url_filters": url_filters.query,
     "op10_source_mixing": source_mixing.query,
 }
