@@ -1,13 +1,15 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from tollgauge.llm import simhash_dedup, source_mixing, url_filters
+from tollgauge.llm import simhash_dedup, source_mixing, suffix_dedup, url_filters
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_dedup.query,
     "op2_url_filters": url_filters.query,
+    "op3_suffix_array_dedup": suffix_dedup.query,
     "op10_source_mixing": source_mixing.query,
 }
 
 ORACLES = {
     "op2_url_filters": url_filters.ORACLE,
+    "op3_suffix_array_dedup": suffix_dedup.ORACLE,
 }
