@@ -37,3 +37,13 @@ def fold(key: Column, folds: int) -> Column:
 def hash_below(key: Column, seed: int, share: float) -> Column:
     """True for about a share of the keys, the same ones at every run."""
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
+def labelled_ids(labels: DataFrame, label: str, folds: int, held: int, most: int, seed: int) -> DataFrame:
+    """(doc_id, label) of labelled rows outside the held-out fold, thinned by a hash of the id to
+    about ``most`` rows and never more than twice that: small enough to broadcast. Of several labels
+    of one id the largest counts; null ids and null labels are left out."""
+    known = labels.where(fold(F.col("doc_id"), folds) != held).groupBy("doc_id").agg(
+        F.max(F.col(label)).cast("int").alias("label")).where("label in (0, 1)")
+    share = min(1.0, most / max(1, known.count()))
+    return known.where(hash_below(F.col("doc_id"), seed, share)).limit(2 * most)

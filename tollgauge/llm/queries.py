@@ -1,11 +1,15 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
-from tollgauge.llm import simhash_dedup, source_mixing, suffix_dedup, url_filters
+from tollgauge.llm import (
+    decontamination, quality_rules, simhash_dedup, source_mixing, suffix_dedup, toxicity, url_filters)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_dedup.query,
     "op2_url_filters": url_filters.query,
     "op3_suffix_array_dedup": suffix_dedup.query,
+    "op4_toxicity": toxicity.query,
+    "op6_benchmark_decontamination": decontamination.query,
+    "op8_quality_rules": quality_rules.query,
     "op10_source_mixing": source_mixing.query,
 }
 
