@@ -1,7 +1,8 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
 from tollgauge.llm import (
-    decontamination, quality_rules, simhash_dedup, source_mixing, suffix_dedup, toxicity, url_filters)
+    decontamination, language_id, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup,
+    toxicity, url_filters)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_dedup.query,
@@ -9,7 +10,9 @@ QUERIES = {
     "op3_suffix_array_dedup": suffix_dedup.query,
     "op4_toxicity": toxicity.query,
     "op6_benchmark_decontamination": decontamination.query,
+    "op7_language_id": language_id.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_quality_classifier": quality_classifier.query,
     "op10_source_mixing": source_mixing.query,
 }
 
