@@ -2,13 +2,14 @@
 
 from tollgauge.llm import (
     decontamination, language_id, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup,
-    toxicity, url_filters)
+    token_counts, toxicity, url_filters)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_dedup.query,
     "op2_url_filters": url_filters.query,
     "op3_suffix_array_dedup": suffix_dedup.query,
     "op4_toxicity": toxicity.query,
+    "op5_token_counts": token_counts.query,
     "op6_benchmark_decontamination": decontamination.query,
     "op7_language_id": language_id.query,
     "op8_quality_rules": quality_rules.query,
