@@ -47,20 +47,23 @@ def test_rewriting_a_date_replaces_only_that_date(spark, tmp_path):
     assert {(r["date"], r["n"]) for r in spark.read.parquet(path).collect()} == {("d1", 1), ("d2", 5)}
 
 
-def test_captures_append(spark, tmp_path):
-    rec = spark.createDataFrame([("t", "u1", "GET", None, 0, "{}", "")], schemas.CAPTURE)
-    folder = str(tmp_path / "captures" / "raw_2026")
+def test_captures_append_and_come_back(spark, tmp_path):
+    rec = spark.createDataFrame([("2026-08-12T01", "u1", "GET", None, 0, "{}", ""), ("2026-08-13T01", "u2", "GET", None, 0, "{}", "")], schemas.CAPTURE)
+    folder = str(tmp_path / "captures")
     landed.append_captures(rec, folder)
-    landed.append_captures(rec, folder)
-    assert spark.read.schema(schemas.CAPTURE).json(folder).count() == 2
+    before = {r["url"]: r["capture_id"] for r in landed.read_captures(spark, folder).collect()}
+    landed.append_captures(rec.limit(1), folder)
+    rows = landed.read_captures(spark, folder).collect()
+    assert sorted((r["url"], r["file"]) for r in rows) == [("u1", "raw_2026-08-12")] * 2 + [("u2", "raw_2026-08-13")]
+    assert {r["url"]: r["capture_id"] for r in rows} == before
 
 
 def test_snapshots_and_captures_by_name(spark, tmp_path):
     (tmp_path / "raw_2026-08-13.jsonl").write_text('{"url":"a","stdout":"{}"}\n{"url":"b","stdout":"{}"}\n')
     rows = landed.read_captures(spark, str(tmp_path)).orderBy("line").collect()
     assert [(r["file"], r["url"]) for r in rows] == [("raw_2026-08-13.jsonl", "a"), ("raw_2026-08-13.jsonl", "b")]
-    landed.write_snapshot(spark.range(3), str(tmp_path / "snap"))
-    assert landed.read_snapshot(spark, str(tmp_path / "snap"), "id long").count() == 3
+    place = landed.write_snapshot(spark.range(3), str(tmp_path / "snap"))
+    assert landed.read_snapshot(spark, place, "id long").count() == 3
 
 
 def test_hits_stop_at_the_first_bad_line_of_a_file(spark, tmp_path):
@@ -76,17 +79,34 @@ def test_ledger_is_written_in_id_order(spark, tmp_path):
     back = landed.read_ledger(spark, str(tmp_path / "ledger"), "receipt_id string, n int")
     assert [r["receipt_id"] for r in back.collect()] == sorted(f"rcpt_{i:03d}" for i in range(50))
     storage.write_mart(df, str(tmp_path / "mart"), "json")
-    assert spark.read.schema("receipt_id string, n int").json(str(tmp_path / "mart")).count() == 50
-
-
-def test_streaming_ledger_equals_batch_supersede(spark, tmp_path):
-    schema = "receipt_id string, kind string, url string, metric string, ts string, status string"
-    one = spark.createDataFrame([("r1", "delivery", "a", "", "d", "short"), ("r2", "delivery", "b", "", "d", "short")], schema)
-    two = spark.createDataFrame([("r3", "delivery", "a", "", "d", "delivered")], schema)
-    src, path = str(tmp_path / "in"), str(tmp_path / "ledger")
-    for batch in (one, two):
-        batch.coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(schema).parquet(src)
-        streams.stream_ledger(stream, path, str(tmp_path / "cp"))
-    got = {tuple(r) for r in streams.current_ledger(spark, path).select(*one.columns).collect()}
-    assert got == {tuple(r) for r in receipts.supersede(one, two).collect()}
+    assert storage.read_mart(spark, str(tmp_path / "mart"), "json", "receipt_id string, n int").count() == 50
+
+
+def test_a_ledger_can_be_read_and_written_back(spark, tmp_path):
+    path, schema = str(tmp_path / "ledger"), "receipt_id string, n int"
+    landed.write_ledger(spark.createDataFrame([("a", 1), ("b", 2)], schema), path)
+    landed.write_ledger(landed.read_ledger(spark, path, schema).withColumn("n", F.col("n") + 1), path)
+    assert [tuple(r) for r in landed.read_ledger(spark, path, schema).collect()] == [("a", 2), ("b", 3)]
+
+
+LEDGER = "receipt_id string, kind string, url string, metric string, ts string, status string"
+
+
+def test_fresh_receipts_win_per_id(spark):
+    old = spark.createDataFrame([("r1", "delivery", "a", "", "d1", "old"), ("r2", "delivery", "b", "", "d1", "kept")], LEDGER)
+    fresh = spark.createDataFrame([("r1", "delivery", "a", "", "d2", "fresh")], LEDGER)
+    assert sorted(tuple(r) for r in receipts.supersede(old, fresh).collect()) == [
+        ("r1", "delivery", "a", "", "d2", "fresh"), ("r2", "delivery", "b", "", "d1", "kept")]
+
+
+def test_streaming_ledger_equals_batch_supersede_over_any_split(spark, tmp_path):
+    old = spark.createDataFrame([("r1", "delivery", "a", "", "d", "short"), ("r2", "delivery", "b", "", "d", "short")], LEDGER)
+    rows = [("r3", "delivery", "a", "", "d", "delivered"), ("r4", "delivery", "a", "", "d", "short"),
+            ("r5", "delivery", "c", "", "d", "short"), ("r3", "delivery", "a", "", "e", "delivered")]
+    want = {tuple(r) for r in receipts.supersede(old, spark.createDataFrame(rows, LEDGER)).collect()}
+    for k, split in enumerate(([rows], [rows[:1], rows[1:]], [rows[3:], rows[1:3], rows[:1]])):
+        src, path = str(tmp_path / f"in{k}"), str(tmp_path / f"ledger{k}")
+        for batch in split:
+            spark.createDataFrame(batch, LEDGER).coalesce(1).write.mode("append").parquet(src)
+            streams.stream_ledger(spark.readStream.schema(LEDGER).parquet(src), path, str(tmp_path / f"cp{k}"))
+        assert {tuple(r) for r in streams.current_ledger(spark, path, old).collect()} == want

@@ -22,13 +22,13 @@ def reference_value(quotes: DataFrame) -> DataFrame:
     return true_median(quotes, ["category"], "value", "ref")
 
 
-def grade(payloads: DataFrame, config: DataFrame, depth: int = 6) -> DataFrame:
+def grade(payloads: DataFrame, config: DataFrame) -> DataFrame:
     """Extract the number near the reference from each response and measure its distance.
 
-    Input payloads carry their reference as ``ref``; the config is a handful of categories.
+    Input payloads carry their reference as ``ref``; the config has a row per category.
     """
-    rows = payloads.join(F.broadcast(config), "category")
-    seen = numeric_candidates(json_nodes(rows, "payload", depth), lo=F.col("lo"), hi=F.col("hi"))
+    rows = payloads.join(config, "category")
+    seen = numeric_candidates(json_nodes(rows, "payload"), lo=F.col("lo"), hi=F.col("hi"))
     valued = nearest(seen, "ref", "band", "kind")
     return valued.select(
         *payloads.columns, "tol", "unit", "kind", "value", "field",

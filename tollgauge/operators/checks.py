@@ -14,7 +14,7 @@ from tollgauge.functions.demand import adoption
 from tollgauge.functions.grades import score_grade
 from tollgauge.functions.numbers import half_even, money_text, whole_days_since
 from tollgauge.operators.ranks import upper_median
-from tollgauge.operators.registry import first_priceable
+from tollgauge.operators.registry import first_priceable, pay_address
 from tollgauge import schemas
 
 
@@ -247,12 +247,12 @@ def parse_challenge(responses: DataFrame) -> DataFrame:
     def lead(doc: str):
         one = first_priceable(F.slice(F.col(f"{doc}.accepts"), 1, 1))
         first = F.get(F.col(f"{doc}.accepts"), F.lit(0))
-        return one["usd"], F.coalesce(first["payTo"], first["recipient"]), first["network"]
+        return one["usd"], pay_address(first), F.nullif(first["network"], F.lit(""))
 
     best, first = option("_b")
     body_payto = F.when(best.isNotNull(), best["payto"]).otherwise(
-        F.coalesce(first["payTo"], first["recipient"]))
-    body_network = F.when(best.isNotNull(), best["network"]).otherwise(first["network"])
+        pay_address(first))
+    body_network = F.when(best.isNotNull(), best["network"]).otherwise(F.nullif(first["network"], F.lit("")))
     h_usd, h_payto, h_net = lead("_h")
     r_usd, r_payto, r_net = lead("_r")
     early = F.coalesce(best["usd"], F.col("_b.price.amount").try_cast("double"), h_usd, r_usd)

@@ -27,9 +27,13 @@ def reconcile(first: DataFrame, second: DataFrame) -> DataFrame:
     """Settle each short verdict against a second call of the same URL.
 
     A second delivery clears it, a second short confirms it, anything else leaves it
-    inconclusive. Rows that are not short do not change.
+    inconclusive. Rows that are not short do not change. Of several second calls of a URL a
+    delivery counts before a short, and a short before anything else.
     """
-    again = second.select("url", *[F.col(c).alias(f"_{c}") for c in ("status", "missing", "extra")])
+    weight = F.when(F.col("status") == "delivered", 0).when(F.col("status") == "short", 1).otherwise(2)
+    again = second.groupBy("url").agg(F.min(F.struct(
+        weight.alias("w"), "status", "missing", "extra")).alias("_s")).select(
+        "url", *[F.col(f"_s.{c}").alias(f"_{c}") for c in ("status", "missing", "extra")])
     rows = first.join(again, "url", "left")
     short = F.col("status") == "short"
     cleared = short & F.coalesce(F.col("_status") == "delivered", F.lit(False))

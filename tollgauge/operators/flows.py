@@ -30,6 +30,17 @@ def decode_logs(logs: DataFrame, on_error: str = "drop") -> DataFrame:
         amount.alias("units"), hex_value(F.col("blockNumber")).cast("bigint").alias("block"))
 
 
+def rejected_logs(logs: DataFrame) -> DataFrame:
+    """Raw logs that ``decode_logs`` cannot carry exactly, with the reason, so that none goes in
+    silence: too few topics, an unreadable block or amount, or an amount above 124 bits."""
+    wide = F.startswith("data", F.lit("0x")) & F.rlike(F.substring("data", 3, 64), F.lit("^[0-9a-fA-F]+$"))
+    reason = (F.when(~F.coalesce(F.size("topics") >= 3, F.lit(False)), "topics")
+              .when(~is_hex_quantity(F.col("blockNumber")), "block")
+              .when(~is_hex_quantity(F.col("data")), F.when(
+                  F.coalesce(wide & (F.length("data") <= 66), F.lit(False)), "amount above 124 bits").otherwise("amount")))
+    return logs.withColumn("reason", reason).where("reason IS NOT NULL")
+
+
 def drop_burn(df: DataFrame, col: str) -> DataFrame:
     return df.where(~is_burn(F.col(col)))
 
@@ -47,6 +58,22 @@ def _share(part: Column, total: Column, digits: int = 4) -> Column:
     return half_even(part.cast("double") / divisor, digits)
 
 
+def _sum_of_squares(units: Column) -> Column:
+    """Sum of squares of whole numbers up to 38 digits, as a double. The number is cut into three
+    limbs of 13 digits; sums of limb products are exact in 38 digits, so order does not matter."""
+    limb = F.lit(10 ** 13).cast("decimal(14,0)")
+    low = (units % limb).cast("decimal(13,0)")
+    rest = ((units - low) / limb).cast("decimal(25,0)")
+    middle = (rest % limb).cast("decimal(13,0)")
+    high = ((rest - middle) / limb).cast("decimal(12,0)")
+
+    def total(a: Column, b: Column) -> Column:
+        return F.sum((a * b).cast("decimal(28,0)")).cast("double")
+
+    return (total(low, low) + 2e13 * total(low, middle) + 1e26 * (total(middle, middle) + 2 * total(low, high))
+            + 2e39 * total(middle, high) + 1e52 * total(high, high))
+
+
 def tape_aggregate(transfers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Demand of each payee and its shape: counts, dollars, payers, returning payers,
     shares of the top buyer and top five, Herfindahl index of dollars, block range.
@@ -60,11 +87,7 @@ def tape_aggregate(transfers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.count("*").alias("n"), F.sum("units").alias("u"),
         F.min("block").alias("b0"), F.max("block").alias("b1"))
     total = F.sum("u")
-    # exact while squares fit 38 digits, which any real amount does; otherwise in doubles
-    square = F.try_multiply(F.col("u"), F.col("u"))
-    rough = F.col("u").cast("double")
-    squares = F.coalesce(F.when(F.count(square) == F.count("*"), F.try_sum(square)).cast("double"),
-                         F.sum(rough * rough))
+    squares = _sum_of_squares(F.col("u"))
     shape = pairs.groupBy(*keys).agg(
         F.sum("n").alias("settlements"),
         total.alias("units"),
@@ -230,7 +253,7 @@ def buyer_census(transfers: DataFrame, services: DataFrame) -> DataFrame:
     """Each buyer of the given services (address, service): dollars, payments, breadth and
     the service it paid most often."""
     top = services.withColumnRenamed("address", "payee")
-    pairs = _pairs(transfers.join(top.select("payee"), "payee", "left_semi"))
+    pairs = _pairs(transfers).join(top.select("payee"), "payee", "left_semi")  # combined before it is keyed on a payee
     per = pairs.groupBy("payer").agg(
         F.sum("u").alias("u"), F.sum("n").alias("payments"),
         F.count("*").alias("distinct_services"),

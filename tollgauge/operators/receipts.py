@@ -170,10 +170,19 @@ def ledger_self_check(verified: DataFrame) -> DataFrame:
 
 
 def supersede(ledger: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Fresh receipts replace the ledger's receipts of the same call; one row per id."""
+    """Fresh receipts replace the ledger's receipts of the same call; one row per id. The id does
+    not cover the time, so one id can come on two days: a fresh row wins, then the earlier one."""
     old = ledger.join(fresh.select(*LOGICAL_KEY).distinct(), LOGICAL_KEY, "left_anti")
-    both = fresh.select(*ledger.columns).unionByName(old.select(*ledger.columns))
-    return both.dropDuplicates(["receipt_id"])
+    both = fresh.select(*ledger.columns, F.lit(False).alias("_old")).unionByName(
+        old.select(*ledger.columns, F.lit(True).alias("_old")))
+    return one_per_id(both, "_old").select(*ledger.columns)
+
+
+def one_per_id(receipts: DataFrame, *first: str) -> DataFrame:
+    """One row per receipt id: the least by the given columns, then the earliest."""
+    rest = [c for c in receipts.columns if c != "receipt_id"]
+    best = F.min_by(F.struct(*rest), F.struct(*first, "ts"))
+    return receipts.groupBy("receipt_id").agg(best.alias("_r")).select("receipt_id", "_r.*").select(*receipts.columns)
 
 
 def receipt_summary(ledger: DataFrame) -> DataFrame:

@@ -42,11 +42,16 @@ def _asked(option: Column) -> Column:
     return F.coalesce(F.nullif(option["amount"], F.lit("")), option["maxAmountRequired"])
 
 
+def pay_address(option: Column) -> Column:
+    """payTo of an option, or its recipient where payTo is missing or empty."""
+    return F.coalesce(F.nullif(option["payTo"], F.lit("")), option["recipient"])
+
+
 def first_priceable(accepts: Column) -> Column:
     """First payment option whose amount can be expressed in dollars."""
     priced = F.transform(accepts, lambda a: F.struct(
         to_usd(_asked(a), a["asset"]).alias("usd"),
-        F.coalesce(a["payTo"], a["recipient"]).alias("payto"), a["network"].alias("network")))
+        pay_address(a).alias("payto"), F.nullif(a["network"], F.lit("")).alias("network")))
     return F.get(F.filter(priced, lambda p: p["usd"].isNotNull()), F.lit(0))
 
 

@@ -16,7 +16,6 @@ from tollgauge.functions.numbers import epoch_seconds, half_even, temperature_un
 from tollgauge.functions.text import has_any
 
 ELEMENT = "~*"          # path step into a list's first element; keys escape "~"
-MAX_KEYS = 40
 NO_TEXT = "array<string>"
 
 
@@ -65,18 +64,11 @@ def _unescaped(key: Column) -> Column:
 def json_shape(df: DataFrame, col: str, depth: int = 3, out: str = "shape") -> DataFrame:
     """Add the response's type structure: array<struct<path, type>>, no values.
 
-    A list contributes its first element only, an object its first forty keys by name, and
-    containers at the depth limit stay closed. Null when the text is not JSON.
+    A list contributes its first element only, an object all its keys, and containers at the
+    depth limit stay closed. Null when the text is not JSON.
     """
     def children(node: Column) -> Column:
-        def entries(obj: Column) -> Column:
-            keys = F.slice(F.array_sort(F.map_keys(obj)), 1, MAX_KEYS)
-            return F.when(
-                F.size(obj) > MAX_KEYS,
-                F.filter(F.map_entries(obj), lambda e: F.array_contains(keys, e["key"])),
-            ).otherwise(F.map_entries(obj))
-
-        fields = F.transform(_once(as_object(node["v"]), entries), lambda e: F.struct(
+        fields = F.transform(F.map_entries(as_object(node["v"])), lambda e: F.struct(
             F.concat(node["path"], F.lit("/"), _escaped(e["key"])).alias("path"),
             e["value"].alias("v")))
         first = F.transform(F.slice(as_list(node["v"]), 1, 1), lambda x: F.struct(
@@ -200,44 +192,56 @@ def _spread(judged: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame
 
 
 # ---- nodes of a response ----------------------------------------------------------------
-def json_nodes(df: DataFrame, col: str, depth: int = 6, out: str = "nodes") -> DataFrame:
-    """Add all nodes of the response down to ``depth`` steps:
-    array<struct<path, key, kind, text, depth>>, with paths like ``.a.b[0].c``."""
+def json_nodes(df: DataFrame, col: str, out: str = "nodes", keys: Sequence[str] = ()) -> DataFrame:
+    """Add all nodes of the response, however deep, or only the fields with one of ``keys``:
+    array<struct<path, key, kind, text, depth, at>>, with paths like ``.a.b[0].c``.
+
+    ``at`` is the node's place: the number of the child at every step (fields in order of their
+    names, which is how a variant keeps them), so it orders list elements by number, not as text.
+    The document is unfolded level by level until a level is empty; a document cannot have more
+    levels than opening brackets.
+    """
     def children(node: Column) -> Column:
-        fields = F.transform(F.map_entries(as_object(node["v"])), lambda e: F.struct(
+        fields = F.transform(F.map_entries(as_object(node["v"])), lambda e, i: F.struct(
             F.concat(node["path"], F.lit("."), e["key"]).alias("path"),
-            e["key"].alias("key"), e["value"].alias("v")))
+            e["key"].alias("key"), e["value"].alias("v"), F.concat(node["at"], F.array(i)).alias("at")))
         items = F.transform(as_list(node["v"]), lambda x, i: F.struct(
             F.concat(node["path"], F.lit("["), i.cast("string"), F.lit("]")).alias("path"),
-            F.lit(None).cast("string").alias("key"), x.alias("v")))
+            F.lit(None).cast("string").alias("key"), x.alias("v"), F.concat(node["at"], F.array(i)).alias("at")))
         return F.coalesce(fields, items, F.slice(F.array(node), 1, 0))
 
-    root = F.array(F.struct(F.lit("").alias("path"), F.lit(None).cast("string").alias("key"),
-                            document(df, col).alias("v")))
-    work = df.withColumn("_l0", root)
-    for level in range(1, depth + 1):
-        work = work.withColumn(f"_l{level}", F.flatten(F.transform(f"_l{level - 1}", children)))
-
-    def described(level: int) -> Column:
-        return F.transform(f"_l{level}", lambda n: _once(kind_of(n["v"]), lambda kind: F.struct(
+    def described(level: Column, depth: Column) -> Column:
+        wanted = F.filter(level, lambda n: n["key"].isin(*keys)) if keys else level
+        return F.transform(wanted, lambda n: _once(kind_of(n["v"]), lambda kind: F.struct(
             n["path"].alias("path"), n["key"].alias("key"), kind.alias("kind"),
             F.when(~kind.isin("object", "array"),
                    F.try_variant_get(n["v"], "$", "string")).alias("text"),
-            F.lit(level).alias("depth"))))
+            depth.alias("depth"), n["at"].alias("at"))))
 
-    nodes = F.concat(*[described(level) for level in range(1, depth + 1)])
-    return work.select(*df.columns, nodes.alias(out))
+    def deeper(state: Column, depth: Column) -> Column:
+        def grown(level: Column) -> Column:
+            return F.struct(level.alias("level"), F.concat(state["nodes"], described(level, depth)).alias("nodes"))
+        return F.when(F.size(state["level"]) == 0, state).otherwise(
+            _once(F.flatten(F.transform(state["level"], children)), grown))
+
+    root = F.array(F.struct(F.lit("").alias("path"), F.lit(None).cast("string").alias("key"),
+                            document(df, col).alias("v"), F.array().cast("array<int>").alias("at")))
+    none = F.array().cast("array<struct<path:string,key:string,kind:string,text:string,depth:int,at:array<int>>>")
+    written = F.to_json(document(df, col)) if isinstance(df.schema[col].dataType, T.VariantType) else F.col(col)
+    opened = F.length(written) - F.length(F.translate(written, "{[", ""))
+    found = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.coalesce(opened, F.lit(0)))),
+                        F.struct(root.alias("level"), none.alias("nodes")), deeper)
+    return df.select(*df.columns, found["nodes"].alias(out))
 
 
-def find_payment(df: DataFrame, col: str, depth: int = 6, out: str = "tx") -> DataFrame:
+def find_payment(df: DataFrame, col: str, out: str = "tx") -> DataFrame:
     """Transaction hash anywhere in an envelope: evidence that money moved. The shallowest
-    one wins, then the first by path."""
-    work = json_nodes(df, col, depth + 1, "_nodes")
-    hits = F.filter("_nodes", lambda n: (
-        n["key"].isin(*fixed.PAYMENT_KEYS) & (n["kind"] == "string")
-        & n["text"].startswith("0x") & (F.length(n["text"]) > 20)))
+    one wins, then the first by place."""
+    work = json_nodes(df, col, "_nodes", fixed.PAYMENT_KEYS)
+    hits = F.filter("_nodes", lambda n: (n["kind"] == "string")
+                    & n["text"].startswith("0x") & (F.length(n["text"]) > 20))
     first = F.array_min(F.transform(hits, lambda n: F.struct(
-        n["depth"].alias("depth"), n["path"].alias("path"), n["text"].alias("text"))))
+        n["depth"].alias("depth"), n["at"].alias("at"), n["text"].alias("text"))))
     return work.select(*df.columns, first["text"].alias(out))
 
 
@@ -288,18 +292,19 @@ def numeric_candidates(df: DataFrame, nodes: str = "nodes", lo: Column | float =
                        hi: Column | float = 1e12, hints: Sequence[str] = fixed.VALUE_HINTS,
                        out: str = "candidates") -> DataFrame:
     """Numbers and numeric strings held by object fields, inside an open range, with a mark
-    when the field name carries a hint: array<struct<value, path, named>>."""
+    when the field name carries a hint: array<struct<value, path, named, at>>."""
     lo = lo if isinstance(lo, Column) else F.lit(lo)
     hi = hi if isinstance(hi, Column) else F.lit(hi)
     valued = F.transform(F.filter(nodes, lambda n: n["key"].isNotNull()), lambda n: F.struct(
         _number(n).alias("value"), n["path"].alias("path"),
-        has_any(_plain(n["key"]), hints).alias("named")))
+        has_any(_plain(n["key"]), hints).alias("named"), n["at"].alias("at")))
     return df.withColumn(out, F.filter(valued, lambda c: (c["value"] > lo) & (c["value"] < hi)))
 
 
 def nearest(df: DataFrame, reference: str, band: str, kind: str,
             candidates: str = "candidates") -> DataFrame:
-    """Best candidate near the reference, hinted fields first; (value, path) or a reason.
+    """Best candidate near the reference, hinted fields first, of equally near ones the first by
+    place; (value, path) or a reason.
 
     A value outside the band is not a wrong value: the metric could not be isolated.
     """
@@ -307,7 +312,7 @@ def nearest(df: DataFrame, reference: str, band: str, kind: str,
     pool = F.when(F.size(named) > 0, named).otherwise(F.col(candidates))
     ref, limit = F.col(reference), F.col(band)
     gaps = F.transform(pool, lambda c: F.struct(
-        F.abs(c["value"] - ref).alias("gap"), c["path"].alias("path"), c["value"].alias("value")))
+        F.abs(c["value"] - ref).alias("gap"), c["at"].alias("at"), c["path"].alias("path"), c["value"].alias("value")))
     near = F.filter(gaps, lambda g: F.when(
         F.col(kind) == "pct", g["gap"] / ref <= limit).otherwise(g["gap"] <= limit))
     picked = df.withColumn("_n", F.array_min(near))
@@ -361,8 +366,8 @@ def temperature_candidates(df: DataFrame, nodes: str = "nodes", out: str = "temp
 
 
 def classify_screen(df: DataFrame, col: str, nodes: str = "nodes") -> DataFrame:
-    """Screener answer: flagged, clear or unclear. Explicit booleans decide first (in path
-    order), then risk words, then phrases."""
+    """Screener answer: flagged, clear or unclear. Explicit booleans decide first (in order of
+    their places), then risk words, then phrases."""
     def vote(node: Column) -> Column:
         key = F.lower(node["key"])
         yes = node["text"] == "true"
@@ -372,7 +377,7 @@ def classify_screen(df: DataFrame, col: str, nodes: str = "nodes") -> DataFrame:
 
     votes = F.transform(
         F.filter(nodes, lambda n: n["key"].isNotNull() & (n["kind"] == "boolean")),
-        lambda n: F.struct(n["path"].alias("path"), vote(n).alias("vote")))
+        lambda n: F.struct(n["at"].alias("at"), vote(n).alias("vote")))
     decided = F.array_min(F.filter(votes, lambda v: v["vote"].isNotNull()))["vote"]
     doc = document(df, col)
     blob = F.lower(F.to_json(doc))

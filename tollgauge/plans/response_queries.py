@@ -141,7 +141,7 @@ _NUM = "case when type in ('DOUBLE', 'UBIGINT', 'BIGINT') then text::double when
 def _(t):
     nodes = shapes.json_nodes(t.calls(), "payload")
     rows = shapes.numeric_candidates(nodes, lo=1.0, hi=1e7)
-    return rows.select("url", F.inline("candidates"))
+    return rows.select("url", F.inline("candidates")).drop("at")
 
 
 @query("fee_candidates", "calls", f"""

@@ -4,16 +4,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgauge import schemas
+from tollgauge.functions.numbers import half_even
 from tollgauge.functions.urls import host_of
+from tollgauge.sources.storage import current_version, write_version
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Raw transfer logs, one JSON object per line."""
-    return spark.read.schema(schemas.TRANSFER_LOG).json(path)
+    """Raw transfer logs, one JSON object per line: the newest version of the folder."""
+    return spark.read.schema(schemas.TRANSFER_LOG).json(current_version(spark, path))
 
 
 def write_logs(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "gzip").json(path)
+    write_version(df, path, "json", compression="gzip")
 
 
 def read_tape(spark: SparkSession, folder: str, chain: str = "base") -> DataFrame:
@@ -28,17 +30,27 @@ def read_tape(spark: SparkSession, folder: str, chain: str = "base") -> DataFram
     named = F.col("file").contains(f"settlements_{chain}_")
     if chain == "base":
         picked = days.where(~F.col("file").rlike(r"settlements_[a-z]+_"))
-        return picked.select("date", F.explode("by_address").alias("address", "v")).select(
-            "date", F.lower("address").alias("address"), "v.*")
+        return _with_units(picked.select("date", F.explode("by_address").alias("address", "v")).select(
+            "date", F.lower("address").alias("address"), "v.*"))
     picked = days.where(named)
-    return picked.select(F.substring("generated", 1, 10).alias("date"),
-                         F.explode("by_wallet").alias("wallet", "v")).select("date", "wallet", "v.*")
+    return _with_units(picked.select(F.substring("generated", 1, 10).alias("date"), F.explode("by_wallet").alias(
+        "wallet", "v")).select("date", "wallet", "v.*"))
+
+
+def _with_units(tape: DataFrame) -> DataFrame:
+    """The files carry dollars with six decimals; operators count whole base units."""
+    money = {c: u for c, u in (("usdc", "units"), ("usdc_out", "units_out")) if c in tape.columns and u not in tape.columns}
+    return tape.withColumns({u: half_even(F.col(c) * 1e6, 0).cast("decimal(38,0)") for c, u in money.items()})
 
 
 def read_registry(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Registry snapshot: a nested JSON array (or one resource per line), with its order."""
+    """Registry snapshot: a nested JSON array (or one resource per line), with its order.
+
+    ``ordinal`` is the place in the snapshot: an own field of that name where a file has one, else
+    the number of the row in reading order (files by name, rows as they stand)."""
     raw = spark.read.schema(schemas.REGISTRY).option("multiLine", multiline).json(path)
-    return raw.withColumn("host", host_of(F.coalesce("resource", F.lit(""))))
+    return raw.withColumn("ordinal", F.coalesce("ordinal", F.monotonically_increasing_id())).withColumn(
+        "host", host_of(F.coalesce("resource", F.lit(""))))
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -46,30 +58,40 @@ def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "gzip").json(path)
+def write_snapshot(df: DataFrame, path: str) -> str:
+    return write_version(df, path, "json", compression="gzip")
 
 
 def read_captures(spark: SparkSession, folder: str) -> DataFrame:
-    """Capture archive: raw client output by day, with file name and offset order."""
-    rows = (spark.read.schema(schemas.CAPTURE).option("pathGlobFilter", "raw_*.json*")
+    """Capture archive: raw client output. Every JSON file below the folder is read: files a client
+    named, and those that ``append_captures`` put into day folders. ``file`` is the file's name, or
+    raw_<day> for a day folder; ``line`` orders the rows of one reading only; ``capture_id`` hashes a
+    capture's content and stays when files are added or split."""
+    rows = (spark.read.schema(schemas.CAPTURE).option("pathGlobFilter", "*.json*")
             .option("recursiveFileLookup", True).json(folder))
-    return rows.select("*", F.col("_metadata.file_name").alias("file"),
-                       F.monotonically_increasing_id().alias("line"))
+    day = F.regexp_extract("_metadata.file_path", r"/raw_day=([^/]*)/[^/]*$", 1)
+    fields = [f.name for f in rows.schema.fields]
+    return rows.select(
+        "*", F.when(day != "", F.concat(F.lit("raw_"), day)).otherwise(F.col("_metadata.file_name")).alias("file"),
+        F.monotonically_increasing_id().alias("line"), F.sha2(F.to_json(F.struct(*fields)), 256).alias("capture_id"))
 
 
 def append_captures(df: DataFrame, folder: str) -> None:
-    """Append-only: existing captures are never touched."""
-    df.write.mode("append").option("maxRecordsPerFile", 1_000_000).json(folder)
+    """Append-only, into a folder raw_day=<day> for each day of ``ts``: existing captures are never touched."""
+    day = F.coalesce(F.nullif(F.substring("ts", 1, 10), F.lit("")), F.lit("undated"))
+    (df.withColumn("raw_day", day).write.mode("append").option("maxRecordsPerFile", 1_000_000)
+     .partitionBy("raw_day").json(folder))
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    """The newest version of the ledger."""
+    return spark.read.schema(schema).json(current_version(spark, path))
 
 
 def write_ledger(df: DataFrame, path: str) -> None:
-    """Canonical ledger: sorted by receipt id (a range partitioning, not one task)."""
-    df.orderBy("receipt_id").write.mode("overwrite").json(path)
+    """Canonical ledger: sorted by receipt id (a range partitioning, not one task), as a new version,
+    so that a ledger may be read, superseded and written back."""
+    write_version(df.orderBy("receipt_id"), path, "json")
 
 
 def read_hits(spark: SparkSession, folder: str) -> DataFrame:

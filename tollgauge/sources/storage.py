@@ -1,4 +1,4 @@
-"""Shared folders: checkpoints, written tables and partition replacement."""
+"""Shared folders: checkpoints, versions of written tables and partition replacement."""
 
 import tempfile
 
@@ -30,5 +30,41 @@ def write_partition(df: DataFrame, path: str, column: str = "date") -> None:
      .partitionBy(column).parquet(path))
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the whole versions under a folder, rising."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit() and fs.exists(
+        jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def write_version(df: DataFrame, path: str, form: str = "parquet", number: int | None = None,
+                  partition_by: tuple[str, ...] = (), **options) -> str:
+    """Write a table as the next version of a folder and return its place. Earlier versions stay
+    readable, so a table may be read, changed and written back, and a lost job changes nothing."""
+    if number is None:
+        number = max(versions(df.sparkSession, path), default=-1) + 1
+    place = f"{path}/v={number}"
+    df.write.mode("overwrite").format(form).options(**options).partitionBy(*partition_by).save(place)
+    return place
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Place of the newest whole version."""
+    found = versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no version under {path}")
+    return f"{path}/v={found[-1]}"
+
+
 def write_mart(df: DataFrame, path: str, form: str = "parquet") -> None:
-    df.write.mode("overwrite").format(form).save(path)
+    write_version(df, path, form)
+
+
+def read_mart(spark: SparkSession, path: str, form: str = "parquet", schema: str | None = None) -> DataFrame:
+    reader = spark.read.format(form)
+    return (reader.schema(schema) if schema else reader).load(current_version(spark, path))

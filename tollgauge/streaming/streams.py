@@ -4,7 +4,8 @@ input. Results land as change files in the shared folder and are folded at read
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgauge.operators.receipts import supersede
+from tollgauge.operators.receipts import one_per_id, supersede
+from tollgauge.sources.storage import versions, write_version
 
 
 def fold_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,35 +62,47 @@ def stream_usage(hits: DataFrame, path: str, checkpoint: str, late: str = "2 day
     _write_changes(flat, path, checkpoint)
 
 
+BUCKETS = 64
+
+
 def stream_ledger(receipts: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep a ledger current: each batch supersedes the receipts of the same calls. The new
-    ledger is written to its own version folder before it becomes the current one, so a lost
-    job leaves the previous version whole."""
+    """Store streamed receipts, one row per id (the earliest). Rows are kept by a hash of the id in
+    ``BUCKETS`` parts; a batch writes only the parts it touches, as a version of its own, so a lost or
+    replayed batch leaves the others whole."""
     def store(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        newest = batch.groupBy("kind", "url", "metric", "ts").agg(
-            F.max_by(F.struct(*batch.columns), "receipt_id").alias("_r")).select("_r.*")
-        earlier = [n for n in _versions(spark, path) if n < number]
-        if earlier:
-            old = spark.read.parquet(f"{path}/v={max(earlier)}")
-            newest = supersede(old, newest)
-        newest.write.mode("overwrite").parquet(f"{path}/v={number}")
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64("receipt_id"), F.lit(BUCKETS)).cast("int"))
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # at most BUCKETS
+        parts = _parts(spark, path, number)
+        old = [parts[b] for b in touched if b in parts]
+        if old:
+            rows = rows.unionByName(_stored(spark, path, old))
+        if touched:
+            write_version(one_per_id(rows), path, number=number, partition_by=("bucket",))
 
     query = (receipts.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(
-        jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+def _parts(spark: SparkSession, path: str, before: int) -> dict[int, str]:
+    """Newest folder of every part among the versions before a number."""
+    jvm, out = spark.sparkContext._jvm, {}
+    for number in versions(spark, path):
+        if number < before:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/v={number}")
+            listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+            names = [s.getPath().getName() for s in listed]
+            out |= {int(n[7:]): f"{path}/v={number}/{n}" for n in names if n.startswith("bucket=")}
+    return out
+
+
+def _stored(spark: SparkSession, path: str, places: list[str]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*places).drop("v")
 
 
-def current_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/v={max(_versions(spark, path))}")
+def current_ledger(spark: SparkSession, path: str, ledger: DataFrame | None = None) -> DataFrame:
+    """The ledger with everything streamed so far as fresh receipts: equal to ``supersede`` of the
+    ledger by all streamed receipts, however these were split into batches."""
+    fresh = _stored(spark, path, list(_parts(spark, path, 1 << 62).values())).drop("bucket")
+    return fresh if ledger is None else supersede(ledger, fresh)
