@@ -13,13 +13,23 @@ from tollgauge.functions.chain import is_burn
 from tollgauge.functions.demand import adoption
 from tollgauge.functions.grades import score_grade
 from tollgauge.functions.numbers import half_even, money_text, whole_days_since
-from tollgauge.operators.ranks import upper_median
 from tollgauge.operators.registry import first_priceable, pay_address
 from tollgauge import schemas
 
 
+def is_conclusive() -> Column:
+    return ~F.coalesce("inconclusive", F.lit(False))
+
+
 def conclusive(checks: DataFrame) -> DataFrame:
-    return checks.where(~F.coalesce("inconclusive", F.lit(False)))
+    return checks.where(is_conclusive())
+
+
+def median_of_falling(col: str) -> Column:
+    """Upper median of values that ``col`` holds with their sign turned, as an aggregate: the upper
+    middle of rising values is the lower middle of falling ones. Milliseconds take few values, and
+    the aggregate counts per value."""
+    return -F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {col})")
 
 
 def price_differs(adv: Column, live: Column) -> Column:
@@ -74,26 +84,26 @@ def probe_score(checks: DataFrame, origins: DataFrame) -> DataFrame:
     gap = F.abs(F.col("live_amount") - F.col("adv_amount"))
     odd = F.col("status").isNotNull() & ~F.col("status").isin(402, 200)
     sample = F.when(paid & (F.col("body_sample") != ""), F.struct("url", "body_sample"))
-    facts = conclusive(checks).groupBy("origin").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("status").isNotNull()).alias("reached"),
-        F.count_if(paid).alias("paid"),
-        F.count_if(F.col("status") == 200).alias("open"),
-        F.count_if(odd).alias("odd"),
-        F.min(F.when(odd, F.col("status"))).alias("odd_code"),
-        F.count_if(paid & F.col("payable")).alias("payable"),
-        F.min(sample).alias("sample"),
-        F.count_if(comparable).alias("comparable"), F.count_if(honest).alias("honest"),
+    sure = is_conclusive()
+    turned = checks.withColumn("_ms", F.when(paid, -F.col("ms").cast("double")))
+    facts = turned.groupBy("origin").agg(  # one pass: every figure says which checks it counts
+        F.count("*").alias("n_checked"), F.bool_or(F.col("status") == 200).alias("free_tier"),
+        median_of_falling("_ms").alias("median_ms"),
+        F.count_if(sure).alias("n"),
+        F.count_if(sure & F.col("status").isNotNull()).alias("reached"),
+        F.count_if(sure & paid).alias("paid"),
+        F.count_if(sure & (F.col("status") == 200)).alias("open"),
+        F.count_if(sure & odd).alias("odd"),
+        F.min(F.when(sure & odd, F.col("status"))).alias("odd_code"),
+        F.count_if(sure & paid & F.col("payable")).alias("payable"),
+        F.min(F.when(sure, sample)).alias("sample"),
+        F.count_if(sure & comparable).alias("comparable"), F.count_if(sure & honest).alias("honest"),
         F.min_by(F.struct("adv_amount", "live_amount"),
-                 F.when(comparable, F.struct((-gap).alias("g"), F.col("url")))).alias("worst"),
-        F.count_if(addressed).alias("addressed"),
-        F.count_if(addressed & (F.lower("adv_payto") == F.lower("live_payto"))).alias("same_payto"),
-        F.bool_or(paid & F.coalesce("schema", F.lit(False))).alias("has_schema"))
-    speed = upper_median(checks.where(paid), ["origin"], "ms", "median_ms")
-    free = checks.groupBy("origin").agg(F.count("*").alias("n_checked"),
-                                        F.bool_or(F.col("status") == 200).alias("free_tier"))
-    rows = (origins.join(facts, "origin", "left").join(speed, "origin", "left")
-            .join(free, "origin", "left"))
+                 F.when(sure & comparable, F.struct((-gap).alias("g"), F.col("url")))).alias("worst"),
+        F.count_if(sure & addressed).alias("addressed"),
+        F.count_if(sure & addressed & (F.lower("adv_payto") == F.lower("live_payto"))).alias("same_payto"),
+        F.bool_or(sure & paid & F.coalesce("schema", F.lit(False))).alias("has_schema"))
+    rows = origins.join(facts, "origin", "left")
     n = F.coalesce("n", F.lit(0))
     c = {k: F.coalesce(k, F.lit(0)) for k in
          ("reached", "paid", "open", "odd", "payable", "comparable", "honest", "addressed", "same_payto")}
@@ -193,23 +203,25 @@ def reliability(probe: DataFrame) -> DataFrame:
 def probe_mart(checks: DataFrame, origins: DataFrame) -> DataFrame:
     """One published row per origin that answered: counts, honesty, up to five price
     mismatches (by URL), upper-median latency and reliability."""
-    cs = conclusive(checks)
+    sure = is_conclusive()
     differs = price_differs(F.col("adv_amount"), F.col("live_amount"))
-    facts = cs.groupBy("origin").agg(
-        F.count("*").alias("checked"), F.count_if(F.col("status") == 402).alias("returns_402"),
-        F.count_if("payable").alias("priceable"),
-        (~F.bool_or(differs)).alias("price_ok"),
-        (~F.bool_or(payto_differs(F.col("adv_payto"), F.col("live_payto")))).alias("payto_ok"))
+    moved = payto_differs(F.col("adv_payto"), F.col("live_payto"))
+    turned = checks.withColumn("_ms", F.when(sure & (F.col("ms") != 0), -F.col("ms").cast("double")))
+    facts = turned.groupBy("origin").agg(
+        F.count_if(sure).alias("checked"), F.count_if(sure & (F.col("status") == 402)).alias("returns_402"),
+        F.count_if(sure & F.col("payable")).alias("priceable"),
+        (~F.coalesce(F.bool_or(sure & differs), F.lit(False))).alias("price_ok"),
+        (~F.coalesce(F.bool_or(sure & moved), F.lit(False))).alias("payto_ok"),
+        median_of_falling("_ms").alias("median_ms"),
+        F.bool_or(F.col("status") == 200).alias("free_tier")).where("checked > 0")
     first5 = Window.partitionBy("origin").orderBy("url")
-    wrong = cs.where(differs).select("origin", "url", "adv_amount", "live_amount").withColumn(
+    wrong = checks.where(sure & differs).select("origin", "url", "adv_amount", "live_amount").withColumn(
         "rn", F.row_number().over(first5)).where("rn <= 5")
     wrong = wrong.groupBy("origin").agg(F.array_sort(F.collect_list(
         F.struct("url", F.col("adv_amount").alias("listed"), F.col("live_amount").alias("live"))
     )).alias("mismatches"))
-    speed = upper_median(cs.where(F.col("ms") != 0), ["origin"], "ms", "median_ms")
-    free = checks.groupBy("origin").agg(F.bool_or(F.col("status") == 200).alias("free_tier"))
     rows = (facts.join(origins.select("origin", "breadth", "phantom"), "origin")
-            .join(speed, "origin", "left").join(wrong, "origin", "left").join(free, "origin"))
+            .join(wrong, "origin", "left"))
     return reliability(rows.select(
         F.col("origin").alias("host"), "breadth", "checked", "returns_402", "priceable",
         "price_ok", "payto_ok", F.coalesce("phantom", F.lit(False)).alias("phantom"),

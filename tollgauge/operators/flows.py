@@ -82,10 +82,13 @@ def tape_aggregate(transfers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     payee alone, and the top five are cut map-side, so a payee that takes a third of all
     payments never meets in one task with its raw rows.
     """
+    return tape_of_pairs(_pairs(transfers, by), by)
+
+
+def tape_of_pairs(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from payments that are combined per (payee, payer) already."""
     keys = [*by, "payee"]
-    pairs = drop_burn(transfers, "payee").groupBy(*keys, "payer").agg(
-        F.count("*").alias("n"), F.sum("units").alias("u"),
-        F.min("block").alias("b0"), F.max("block").alias("b1"))
+    pairs = drop_burn(pairs, "payee")
     total = F.sum("u")
     squares = _sum_of_squares(F.col("u"))
     shape = pairs.groupBy(*keys).agg(
@@ -139,10 +142,12 @@ def merge_flows(inflow: DataFrame, outflow: DataFrame, by: Sequence[str] = ()) -
 
 
 def dated_tape(transfers: DataFrame, wallets: DataFrame) -> DataFrame:
-    """The settlement tape: one row per collected date and tracked wallet."""
-    return merge_flows(
-        tape_aggregate(inflow_to(transfers, wallets), ["date"]),
-        outflow_aggregate(outflow_from(transfers, wallets), ["date"]), ["date"])
+    """The settlement tape: one row per collected date and tracked wallet. Transfers are read once and
+    combined per (date, payee, payer) before any join, so a hot wallet's raw rows never meet."""
+    pairs = _pairs(transfers, ["date"])
+    out = outflow_from(pairs, wallets).groupBy("date", "payer").agg(
+        F.sum("n").alias("transfers_out"), F.sum("u").alias("units_out"))
+    return merge_flows(tape_of_pairs(inflow_to(pairs, wallets), ["date"]), out, ["date"])
 
 
 def service_wallets(services: DataFrame, tape: DataFrame) -> DataFrame:
@@ -223,8 +228,8 @@ def velocity_rollup(velocity: DataFrame, services: DataFrame) -> DataFrame:
         F.bool_or("truncated").alias("truncated"))
 
 
-def _pairs(transfers: DataFrame) -> DataFrame:
-    return transfers.groupBy("payer", "payee").agg(
+def _pairs(transfers: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return transfers.groupBy(*by, "payer", "payee").agg(
         F.count("*").alias("n"), F.sum("units").alias("u"),
         F.min("block").alias("b0"), F.max("block").alias("b1"))
 

@@ -1,8 +1,9 @@
 """Exact order statistics per group that survive hot groups.
 
 A window over a whole group puts that group into one task. Here values are counted
-first, split into buckets of the group's value range, and only the bucket that holds
-the wanted position is ranked, so a group with a third of all rows stays spread out.
+first, split into buckets of about equally many distinct values, and only the bucket that
+holds the wanted position is ranked, so a group with a third of all rows stays spread out,
+and one outlier does not put all other values into one bucket.
 """
 
 from collections.abc import Sequence
@@ -10,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 512
+BUCKETS = 64
 
 
 def first_per(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -31,18 +32,16 @@ def values_at(df: DataFrame, keys: Sequence[str], value: str,
     counts = (df.where(F.col(value).isNotNull())
               .groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_c")))
     span = counts.groupBy(*keys).agg(
-        F.sum("_c").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        F.sum("_c").alias("n"), F.array_distinct(F.percentile_approx(
+            "_v", [i / BUCKETS for i in range(1, BUCKETS)], 10 * BUCKETS)).alias("_cuts"))
     wanted = span.select(
-        *keys, "n", "_lo", "_hi",
+        *keys, "n",
         F.explode(F.array(*[
             F.struct(F.lit(name).alias("name"), pos.cast("bigint").alias("pos"))
             for name, pos in positions.items()])).alias("_w"),
     )
-    step = (F.col("_hi") - F.col("_lo")) / BUCKETS
-    bucketed = counts.join(span.select(*keys, "_lo", "_hi"), keys).select(
-        *keys, "_v", "_c",
-        F.when(step > 0, F.floor((F.col("_v") - F.col("_lo")) / step)).otherwise(F.lit(0)).alias("_b"),
-    )
+    bucketed = counts.join(span.select(*keys, "_cuts"), keys).select(
+        *keys, "_v", "_c", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b"))
     running = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     totals = (bucketed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
               .withColumn("_before", F.sum("_bc").over(running) - F.col("_bc")))
@@ -72,12 +71,23 @@ def true_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "medi
     return both.select(*keys, ((F.col("_a") + F.col("_z")) / 2).alias(out))
 
 
-def positional_quantiles(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """p10 and p90 by position when a group has ten values or more, else its extremes."""
+def _outer_positions() -> dict[str, Column]:
     n = F.col("n")
     low = F.when(n >= 10, F.greatest(F.lit(0), F.floor(n * 0.1) - 1)).otherwise(F.lit(0))
     high = F.when(n >= 10, F.least(n - 1, F.floor(n * 0.9))).otherwise(n - 1)
-    return values_at(df, keys, value, {"p10": low, "p90": high})
+    return {"p10": low, "p90": high}
+
+
+def positional_quantiles(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """p10 and p90 by position when a group has ten values or more, else its extremes."""
+    return values_at(df, keys, value, _outer_positions())
+
+
+def quantiles_and_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """p10, p90 and the interpolated median in one pass."""
+    n = F.col("n")
+    found = values_at(df, keys, value, _outer_positions() | {"_a": F.floor((n - 1) / 2), "_z": F.floor(n / 2)})
+    return found.select(*keys, "p10", "p90", ((F.col("_a") + F.col("_z")) / 2).alias("median"))
 
 
 def take_by_hash(df: DataFrame, keys: Sequence[str], room: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tollgauge import fixed_values as fixed
 from tollgauge.functions.chain import chain_name
 from tollgauge.functions.text import first_pattern, first_words, has_any, trim_to
 from tollgauge.functions.urls import host_of, last_path_word
-from tollgauge.operators.ranks import first_per, positional_quantiles, take_by_hash, true_median
+from tollgauge.operators.ranks import first_per, quantiles_and_median, take_by_hash, true_median
 
 
 def with_host(listings: DataFrame, variant: str = "hostname") -> DataFrame:
@@ -312,8 +312,7 @@ def topic_market(listings: DataFrame, board: DataFrame) -> DataFrame:
         F.count("*").alias("sellers"), F.sum("endpoints").alias("endpoints"))
     prices = positive.groupBy("topic").agg(
         F.min("price").alias("cheapest"), F.max("price").alias("dearest"))
-    quantiles = positional_quantiles(positive, ["topic"], "price")
-    middle = true_median(positive, ["topic"], "price", "median")
+    quantiles = quantiles_and_median(positive, ["topic"], "price")
     money = primary_topic(rows).join(host_money(board), "host", "left")
     score = F.coalesce("d.organic_score", F.lit(0))
     demand = money.groupBy("topic").agg(
@@ -324,7 +323,7 @@ def topic_market(listings: DataFrame, board: DataFrame) -> DataFrame:
         F.count_if((score >= 60) & ~F.col("d.circular")).alias("real_sellers"))
     shape = true_median(money.select("topic", F.col("d.organic_score").alias("s")),
                         ["topic"], "s", "median_ods")
-    return (prices.join(supply, "topic").join(quantiles, "topic").join(middle, "topic")
+    return (prices.join(supply, "topic").join(quantiles, "topic")
             .join(demand, "topic", "left").join(shape, "topic", "left")
             .select("topic", "sellers",
                     *[F.coalesce(c, F.lit(0)).alias(c) for c in ("primary_sellers",)],

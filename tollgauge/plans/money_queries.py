@@ -1,5 +1,7 @@
 """Registered queries: transfers, tapes, buyers and the board."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tollgauge import fixed_values as fixed
@@ -10,6 +12,7 @@ from tollgauge.operators import board, changes, flows, graph, ranks, ratings, re
 from tollgauge.plans.inputs import Tables
 from tollgauge.plans.oracle_parts import BURN_LIST, demand_case, score_columns
 from tollgauge.plans.registry import query
+from tollgauge.sources.storage import shared_folder, write_partition
 
 
 def inflow(t: Tables):
@@ -20,6 +23,14 @@ def tape(t: Tables):
     return flows.dated_tape(flows.decode_logs(t.raw_logs()), t("tracked"))
 
 
+def stored_tape(t: Tables):
+    """The tape written once by date, as the board's windows read it: they ask it twice, for its
+    newest dates and for the rows of these."""
+    path, rows = f"{shared_folder(t.spark)}/tape-{uuid.uuid4().hex}", tape(t)
+    write_partition(rows, path)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
 def second_chain_tape(t: Tables):
     rows = flows.inflow_to(t("transfers").where("chain = 'solana'"), t("tracked"))
     per = flows.tape_aggregate(rows, ["date"])
@@ -34,7 +45,7 @@ def wallet_keys(t: Tables):
 
 
 def board_of(t: Tables, n: int = 30):
-    return board.board_rows(board.window_rollup(tape(t), n), t.services())
+    return board.board_rows(board.window_rollup(stored_tape(t), n), t.services())
 
 
 def folded_board(t: Tables, n: int = 7):
@@ -268,7 +279,7 @@ def _(t):
 # ---- tape over time ---------------------------------------------------------------------
 @query("window_rollup", "window7", "select * from window7")
 def _(t):
-    return board.window_rollup(tape(t), 7)
+    return board.window_rollup(stored_tape(t), 7)
 
 
 @query("window_coverage", "tape", """
@@ -306,7 +317,7 @@ def _(t):
     select w.address, settlements, coalesce(service, substr(w.address, 1, 10) || '…') as service, coalesce(host, '') as host,
       coalesce(shares > 1, false) as shared_wallet from window7 w left join owners o using (address)""")
 def _(t):
-    rows = board.attribute(board.window_rollup(tape(t), 7), t.services())
+    rows = board.attribute(board.window_rollup(stored_tape(t), 7), t.services())
     return rows.select("address", "settlements", "service", "host", "shared_wallet")
 
 
@@ -351,7 +362,7 @@ def _(t):
     from window30""")
 def _(t):
     d = directory_demand(F.nullif("settlements", F.lit(0)), F.col("payers"))
-    return board.window_rollup(tape(t), 30).select("address", d["tier"].alias("tier"), d["why"].alias("why"))
+    return board.window_rollup(stored_tape(t), 30).select("address", d["tier"].alias("tier"), d["why"].alias("why"))
 
 
 @query("second_chain_hosts", "sol_hosts", "select * from sol_hosts")
@@ -450,7 +461,7 @@ def grade_text(col: str = "grades"):
 def _(t):
     listings = t.listings()
     owned = flows.payto_owner(listings)
-    seen = board.window_rollup(tape(t), 30).join(owned, "address")
+    seen = board.window_rollup(stored_tape(t), 30).join(owned, "address")
     return board.claim_vs_chain(registry.declared_call(listings), seen)
 
 
