@@ -7,9 +7,12 @@ only those whose gram occurs again. Suffixes with the same gram meet in one task
 in order, forwards from the anchor and backwards before it, by deep-shallow sorting (see
 ``deep_shallow``), and common prefixes of neighbours give every repeated 200-byte string.
 
-Equal texts are one text with a count, reduced on the map side. A gram with more than ``MOST``
-anchors is cut into blocks, and every pair of blocks is a group of its own: no task holds more than
-``MOST`` contexts of a gram, and every two anchors still meet.
+Equal texts are one text with a count, reduced on the map side, and equal contexts of anchors (all
+bytes that such a string around the anchor can have, compared by gram and a second 64-bit hash) are
+one string with a count: one of them is sorted, and all bytes of a context that occurs twice are
+repeated. A gram with more than ``MOST`` different contexts is cut into blocks, and every pair of
+blocks is a group of its own: no task holds more than ``MOST`` contexts of a gram, and every two
+still meet.
 """
 
 import hashlib
@@ -17,7 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tollgauge.llm.common import table
@@ -82,20 +86,37 @@ def anchors(data: bytes, powers, need: int = NEED, gram: int = GRAM) -> tuple[np
     return place, np.concatenate(hashes)[one]
 
 
+def context(data: bytes, pos: int) -> tuple[bytes, bytes]:
+    """All bytes of the 200-byte strings that contain the anchor's gram: those before the anchor and
+    those from it on."""
+    return data[max(0, pos - NEED + GRAM):pos], data[pos:pos + NEED]
+
+
 def _anchor_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    powers = _powers(SLICE + NEED)
+    powers, of = _powers(SLICE + NEED), xxhash.xxh3_64_intdigest
     for frame in frames:
-        found = [anchors(d, powers) for d in frame["data"]]
-        yield pd.DataFrame({"id": frame["id"], "gram": [h for _, h in found], "pos": [p.astype(np.int32) for p, _ in found]})
+        grams, places, contexts = [], [], []
+        for d in frame["data"]:
+            p, h = anchors(d, powers)
+            seen = [of(d[max(0, x - NEED + GRAM):x + NEED], min(x, NEED)) for x in p.tolist()]
+            grams.append(h)
+            places.append(p.astype(np.int32))
+            contexts.append(np.array(seen, np.uint64).view(np.int64))
+        yield pd.DataFrame({"id": frame["id"], "gram": grams, "context": contexts, "pos": places})
 
 
 def _context_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["gram", "blocks", "id", "pos", "left", "right"]
     for frame in frames:
-        rows = [(g, i, p, d[max(0, p - NEED + GRAM):p][::-1], d[p:p + NEED])
-                for i, d, gs, ps in zip(frame["id"], frame["data"], frame["grams"], frame["places"], strict=True)
-                for g, p in zip(gs.tolist(), ps.tolist(), strict=True)]
-        for at in range(0, len(rows), _ROWS):
-            yield pd.DataFrame(rows[at:at + _ROWS], columns=["gram", "id", "pos", "left", "right"])
+        rows = []
+        for i, d, found in zip(frame["id"], frame["data"], frame["found"], strict=True):
+            for f in found:
+                left, right = context(d, f["pos"])
+                rows.append((f["gram"], f["blocks"], i, f["pos"], left[::-1], right))
+            if len(rows) >= _ROWS:
+                yield pd.DataFrame(rows, columns=columns)
+                rows = []
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def _reach_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,13 +169,13 @@ _RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string,
 
 def _cutter(with_text: bool):
     @F.pandas_udf(_RESULT)
-    def cut(data: pd.Series, copies: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
+    def cut(data: pd.Series, copies: pd.Series, twins: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
         rows = []
-        for d, n, first, last in zip(data, copies, firsts, lasts, strict=True):
-            if n > 1 and len(d) >= NEED:
-                spans = [[0, len(d)]]
-            else:
-                spans = _merged(list(zip(first.tolist(), last.tolist(), strict=True))) if first is not None else []
+        for d, n, twin, first, last in zip(data, copies, twins, firsts, lasts, strict=True):
+            found = [] if twin is None else [(max(0, p - NEED + GRAM), min(len(d), p + NEED)) for p in twin.tolist()]
+            if first is not None:
+                found += zip(first.tolist(), last.tolist(), strict=True)
+            spans = [[0, len(d)]] if n > 1 and len(d) >= NEED else _merged(found)
             edges = [0, *(x for s in spans for x in s), len(d)]
             kept = b"".join(d[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if spans else d
             rows.append((len(d), len(d) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), spans,
@@ -174,28 +195,31 @@ def repeats(docs: DataFrame, text: str = "text", with_text: bool = False, most:
     data = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     texts = docs.select(F.unhex(F.md5(data)).alias("id"), data.alias("data")).groupBy("id").agg(
         F.first("data").alias("data"), F.count("*").alias("copies"))
-    found = texts.select("id", "data").mapInPandas(_anchor_rows, "id binary, gram array<bigint>, pos array<int>")
-    flat = found.select("id", F.inline(F.arrays_zip("gram", "pos")))
-    often = flat.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(2 * F.col("n") / most).cast("int")
-    again = flat.join(often, "gram").select(
-        "id", "gram", "pos", F.when(F.col("n") > most, blocks).otherwise(1).alias("blocks"))
-    mine = again.groupBy("id").agg(F.collect_list(F.struct("gram", "pos", "blocks")).alias("found"))
-    contexts = texts.join(mine, "id").select(
-        "id", "data", F.col("found.gram").alias("grams"), F.col("found.pos").alias("places")).mapInPandas(
-        _context_rows, "gram bigint, id binary, pos int, left binary, right binary")
-    hot = again.where("blocks > 1").select("gram", "blocks").distinct()
-    own = F.pmod(F.xxhash64("id", "pos"), F.col("blocks"))
-    dealt = contexts.join(hot, "gram", "left").withColumn("own", F.coalesce(own, F.lit(0))).select(
-        "gram", "id", "pos", "left", "right", F.explode(
-            F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.transform(
-                F.sequence(F.lit(0).cast("bigint"), F.col("blocks").cast("bigint") - 1),
-                lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j)))).alias("block"))
+    # every use of texts takes all its columns: then one exchange of the texts serves them all
+    found = texts.mapInPandas(
+        _anchor_rows, "id binary, gram array<bigint>, context array<bigint>, pos array<int>")
+    flat = found.select("id", F.inline(F.arrays_zip("gram", "context", "pos")))
+    often = flat.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    gram, same = Window.partitionBy("gram"), Window.partitionBy("gram", "context")
+    known = flat.join(often, "gram").withColumn("copies", F.count("*").over(same)).withColumn(
+        "rank", F.row_number().over(same.orderBy("id", "pos"))).withColumn(
+        "strings", F.sum(F.when(F.col("rank") == 1, 1).otherwise(0)).over(gram))
+    sorts = (F.col("rank") == 1) & (F.col("strings") > 1)
+    blocks = F.when(F.col("strings") > most, F.ceil(2 * F.col("strings") / most)).otherwise(1).cast("int")
+    mine = known.where((F.col("copies") > 1) | sorts).groupBy("id").agg(
+        F.collect_list(F.when(F.col("copies") > 1, F.col("pos"))).alias("twins"),
+        F.collect_list(F.when(sorts, F.struct("gram", "pos", blocks.alias("blocks")))).alias("found"))
+    contexts = texts.join(mine.where(F.size("found") > 0), "id").select("id", "data", "copies", "found").mapInPandas(
+        _context_rows, "gram bigint, blocks int, id binary, pos int, left binary, right binary")
+    own = F.pmod(F.xxhash64("id", "pos"), F.col("blocks")).cast("int")
+    dealt = contexts.withColumn("own", own).select("gram", "id", "pos", "left", "right", F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.least("own", j).cast("bigint") * F.col("blocks") + F.greatest(F.col("own"), j))).alias("block"))
     reach = dealt.repartition("gram", "block").sortWithinPartitions("gram", "block").mapInPandas(
         _reach_rows, "id binary, first bigint, last bigint")
     spans = reach.groupBy("id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
-    return texts.join(spans, "id", "left").select(
-        F.col("id").alias("_text_id"), _cutter(with_text)("data", "copies", "firsts", "lasts").alias("r")).select(
+    return texts.join(mine.select("id", "twins"), "id", "left").join(spans, "id", "left").select(
+        F.col("id").alias("_text_id"), _cutter(with_text)("data", "copies", "twins", "firsts", "lasts").alias("r")).select(
         "_text_id", "r.*")
 
 
