@@ -194,6 +194,18 @@ def wallet_trend(tape: DataFrame) -> DataFrame:
         "address", "first_usdc", "last_usdc", way.alias("direction"))
 
 
+def wallet_days(tape: DataFrame, wallets: DataFrame) -> DataFrame:
+    """Dollars of each asked wallet (address) on every collected date, zero where it took nothing.
+    The collected dates are one short list (a date a day); only asked wallets are filled."""
+    dates = tape.select("date").distinct().agg(F.array_sort(F.collect_list("date")).alias("dates"), F.lit(1).alias("_one"))
+    asked = wallets.select("address").distinct()
+    grid = asked.withColumn("_one", F.lit(1)).join(F.broadcast(dates), "_one").select(
+        "address", F.explode("dates").alias("date"))
+    have = tape.join(asked, "address", "left_semi").groupBy("address", "date").agg(F.sum("usdc").alias("usdc"))
+    return grid.join(have, ["address", "date"], "left").select(
+        "address", "date", F.coalesce(F.bround("usdc", 2), F.lit(0.0)).alias("usdc"))
+
+
 def first_per_url(rows: DataFrame) -> DataFrame:
     """One row per URL across files, the first by (file, ordinal)."""
     return first_per(rows.where("url IS NOT NULL"), ["url"], F.col("file"), F.col("ordinal"))

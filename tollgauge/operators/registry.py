@@ -124,7 +124,8 @@ def schema_fingerprint(text: Column) -> Column:
 
 
 def index_of(listings: DataFrame) -> DataFrame:
-    """Compact per-URL record with the fields worth comparing between days."""
+    """Compact per-URL record with the fields worth comparing between days: all payment options and
+    the whole description, since what is stored is not cut; answers cut what they show."""
     first = F.get("accepts", F.lit(0))
     wallets = F.array_sort(F.array_distinct(F.transform(
         F.filter("accepts", lambda a: F.coalesce(a["payTo"] != "", F.lit(False))),
@@ -132,16 +133,16 @@ def index_of(listings: DataFrame) -> DataFrame:
     return listings.where(F.col("resource").startswith("http")).select(
         F.col("resource").alias("url"), host_of(F.col("resource"), "netloc").alias("host"),
         F.coalesce("serviceName", F.lit("")).alias("service"),
-        trim_to(F.col("description"), 200).alias("descr"),
+        F.coalesce("description", F.lit("")).alias("descr"),
         first["amount"].alias("amount"), first["asset"].alias("asset"),
         first["network"].alias("network"),
         F.coalesce("quality.l30DaysTotalCalls", F.lit(0)).alias("calls30d"),
         F.coalesce("quality.l30DaysUniquePayers", F.lit(0)).alias("payers30d"),
         F.col("quality.lastCalledAt").alias("last_called"),
         F.coalesce(wallets, F.array().cast("array<string>")).alias("payto"),
-        F.slice(F.transform("accepts", lambda a: F.struct(
+        F.transform("accepts", lambda a: F.struct(
             a["amount"].alias("amount"), a["asset"].alias("asset"),
-            a["network"].alias("network"))), 1, 6).alias("options"),
+            a["network"].alias("network"))).alias("options"),
         schema_fingerprint(F.col("extensions.bazaar.schema")).alias("schema_fp"))
 
 

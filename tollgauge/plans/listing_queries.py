@@ -160,7 +160,7 @@ def _(t):
 
 @query("index_of", "listing_docs", """
     select resource as url, regexp_extract(resource, '^https?://([^/?#]+)', 1) as host,
-      case when page_id % 9 = 0 then '' else 'Service ' || page_id % 50 end as service, substr(descr, 1, 200) as descr,
+      case when page_id % 9 = 0 then '' else 'Service ' || page_id % 50 end as service, descr,
       case page_id % 4 when 0 then a::varchar when 1 then (a * 2)::varchar when 2 then (a * 1000000)::varchar else 'abc' end as amount,
       case when page_id % 4 in (0, 3) then 1 else 2 end + (page_id % 4 = 3)::int as n_options,
       case when page_id % 5 = 0 then null else substr(sha256('{"a":' || page_id % 30 || ',"z":1}'), 1, 12) end as schema_fp
@@ -372,10 +372,10 @@ def _(t):
 
 @query("tracked_wallets", "listing_prices", """
     select 'Sol' || wk as wallet, arg_max(host, ordinal) as host from listing_prices where page_id % 4 = 1
-      and host in (select 'm.' || split_part(host, 'm.', 2) from listing_prices union select host from listing_prices where host like '%.net') group by 1""")
+      and (host like 'm.%' or host like '%.net' or host like '%.org') group by 1""")
 def _(t):
     ranked = t.listings().where(F.col("host").endswith(".net") | F.col("host").startswith("m.")).select("host")
-    graded = t.posts().select("grade", "service").where("service = 'no such host'")
+    graded = t.listings().select(F.when(F.col("host").endswith(".org"), "B").alias("grade"), F.col("host").alias("service"))
     return registry.tracked_wallets(t.listings(), ranked, graded, "solana")
 
 
@@ -448,9 +448,12 @@ def first_seen(t: Tables):
     return changes.update_first_seen(empty, t.index(CUR_DATE), CUR_DATE, t.index(PREV_DATE), PREV_DATE)
 
 
-@query("update_first_seen", "snapshots", "select url, min(date) as date from snapshots group by url")
+@query("update_first_seen", "snapshots", """
+    select url, least(min(date), case when length(url) % 2 = 0 then '1997-01-01' else '1999-06-30' end) as date from snapshots group by url""")
 def _(t):
-    return first_seen(t)
+    known = t.index().select("url").distinct().withColumn(
+        "date", F.when(F.length("url") % 2 == 0, "1997-01-01").otherwise("1999-06-30"))
+    return changes.update_first_seen(known, t.index(CUR_DATE), CUR_DATE, t.index(PREV_DATE), PREV_DATE)
 
 
 @query("host_first_seen", "snapshots", "select host, min(date) as date from snapshots group by host")

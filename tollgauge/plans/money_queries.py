@@ -307,6 +307,14 @@ def _(t):
     return changes.wallet_trend(tape(t))
 
 
+@query("wallet_days", "tape tracked", """
+    with d as (select distinct date from tape), a as (select distinct address from tracked)
+    select a.address, d.date, coalesce(round_even(sum(usdc), 2), 0.0) as usdc from a join d on true
+      left join tape t on t.address = a.address and t.date = d.date group by 1, 2""")
+def _(t):
+    return changes.wallet_days(stored_tape(t), t("tracked"))
+
+
 # ---- board ------------------------------------------------------------------------------
 @query("best_listing", "owners", "select address, service, host, grade, shares from owners")
 def _(t):
@@ -410,9 +418,11 @@ def _(t):
 
 
 @query("chain_sum_errors", "board7 sol_hosts", _FOLD + """
-    select host, address, abs(base_usdc + other_usdc - usdc) as diff from folded where abs(base_usdc + other_usdc - usdc) >= 0.02""")
+    , bent as (select * replace (usdc + case when settlements % 2 = 0 then 0.5::double else 0 end as usdc) from folded)
+    select host, address, abs(base_usdc + other_usdc - usdc) as diff from bent where abs(base_usdc + other_usdc - usdc) >= 0.02""")
 def _(t):
-    return board.chain_sum_errors(folded_board(t))
+    bent = F.col("usdc") + F.when(F.col("settlements") % 2 == 0, 0.5).otherwise(0.0)
+    return board.chain_sum_errors(folded_board(t).withColumn("usdc", bent))
 
 
 @query("market_summary", "board7 sol_hosts tape", _FOLD + """

@@ -331,7 +331,8 @@ def _(t):
     return conformance.regrade_monotone(overstated).select("url", "status", "missing")
 
 
-@query("new_shorts", "conf", "select url from conf where false")
+@query("new_shorts", "conf", "select url from conf where status = 'short' and ms % 7 = 0")
 def _(t):
-    base = rows(t)
-    return conformance.new_shorts(base, conformance.regrade_monotone(base))
+    after = rows(t)
+    before = after.withColumn("status", F.when(F.col("ms") % 7 == 0, "delivered").otherwise(F.col("status")))
+    return conformance.new_shorts(before, after)

@@ -4,9 +4,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tollgauge.operators import flows, receipts, shapes
-from tollgauge.plans.inputs import Tables
+from tollgauge.operators import checks, flows, guards, receipts, shapes
+from tollgauge.plans.inputs import CUR_DATE, PREV_DATE, Tables
 from tollgauge.plans.ledger_queries import ledger_pair
+from tollgauge.plans.money_queries import board_of
 from tollgauge.plans.registry import query
 from tollgauge.sources import landed, storage
 from tollgauge.streaming import streams
@@ -95,3 +96,29 @@ def _(t):
     live = shapes.judge(shapes.json_shape(rows, "payload"), "payload", prefix="live_")
     both = shapes.judge_shape(live, prefix="stored_")
     return both.select("o_orderkey", F.col("live_status").alias("live"), F.col("stored_status").alias("stored"))
+
+
+@query("guarded_marts", "board7 probe_mart snapshots", f"""
+    select 'board' as mart, (select count(*) from board7) as stored, '' as refused
+    union all select 'probe', (select count(*) from probe_mart), ''
+    union all select 'index', (select count(*) from snapshots where date = '{CUR_DATE}'),
+      'got 0 rows against ' || (select count(*) from snapshots where date = '{PREV_DATE}') || ' before (floor 0.7x)'
+    union all select 'day', 0, 'refusing to record an empty day'""")
+def _(t):
+    """Marts written through their guards; the index mart keeps its version when a truncated pull comes."""
+    board, probe = board_of(t, 7), checks.probe_mart(t("checks"), t.origins())
+    index, before = t.index(CUR_DATE), t.index(PREV_DATE).count()
+    cut = index.where(F.lit(False))
+    shrink = lambda df: guards.check_shrink(before, df.count(), 0.7)
+    writes = (("board", board, (guards.check_not_empty,)), ("probe", probe, (guards.check_not_empty,)),
+              ("index", index, ()), ("index", cut, (shrink,)), ("day", cut, (guards.check_not_empty,)))
+    base, refused = _place(t, "marts"), {}
+    for name, df, rules in writes:
+        refused[name] = guards.write_guarded(df, f"{base}/{name}", *rules) or refused.get(name) or ""
+    out = None
+    for name, why in refused.items():
+        held = bool(storage.versions(t.spark, f"{base}/{name}"))
+        rows = storage.read_mart(t.spark, f"{base}/{name}") if held else t.spark.range(0)
+        row = rows.agg(F.lit(name).alias("mart"), F.count("*").alias("stored"), F.lit(why).alias("refused"))
+        out = row if out is None else out.unionByName(row)
+    return out
