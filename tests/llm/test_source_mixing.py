@@ -38,11 +38,19 @@ def test_split_tree_is_exact():
     assert abs(dealt[:, 0] - 1000 / 13).max() < 12
 
 
+def test_a_large_document_that_comes_late_is_fitted():
+    taken = op.fitting([100, 100, 100, 100, 350], 420)
+    assert sum(n for n, t in zip([100, 100, 100, 100, 350], taken) if t) == 400
+    taken = op.fitting([90, 90, 90, 90, 350], 440)
+    assert sum(n for n, t in zip([90, 90, 90, 90, 350], taken) if t) == 440
+    assert op.fitting([], 5) == [] and op.fitting([7], 5) == [False]
+
+
 def corpus(spark, n=900):
     rng = random.Random(4)
     rows = [(i, " ".join("w" * rng.choice([1, 2]) for _ in range(rng.choice([0, 3, 40, 90]))), rng.choice(["hot", "hot", "hot", "b", "c", None]), 1)
             for i in range(n)]
-    rows += [(n, None, "d", 1), (n, None, "d", 1), (n + 1, "x y " * 5000, "b", 1), (None, "q", "c", 2), (5, rows[5][1], rows[5][2], 1)]
+    rows += [(n, None, "d", 1), (n, None, "d", 1), (n + 1, "x y " * 1200, "b", 1), (None, "q", "c", 2), (5, rows[5][1], rows[5][2], 1)]
     return spark.createDataFrame(rows, "doc_id long, text string, source string, mix_copy int")
 
 

@@ -1,16 +1,16 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Every source is dealt into blocks by a hash of the document key. A source's target, in words,
-is met by whole passes over its blocks, then by further blocks in order of their number (the
-hash has permuted the documents), then by documents of one last block that still fit. The
-block quotas of all sources are exact integers. A binary tree over the output shards splits
+is met by whole passes over its blocks, then by further blocks that still fit, in order of their
+number (the hash has permuted the documents), then by documents that still fit, out of the
+``LAST_BLOCKS`` smallest blocks left. The block quotas of all sources are exact integers. A binary tree over the output shards splits
 that vector of quotas: each node draws its left child's share without replacement, so every
 shard gets its due number of blocks and the shards' quotas add up exactly. A shard's blocks
 are consecutive runs of each source's block list, hence disjoint, and its documents are put
 in hash order.
 
 What the driver holds is one row per source and at most ``max_blocks`` block sums per source.
-The last block of a source is one group of about 1/``max_blocks`` of its keys and sizes.
+The last blocks of a source are one group of about 8/``max_blocks`` of its keys and sizes.
 """
 
 import math
@@ -27,6 +27,7 @@ SHARE = 1.5
 MAX_REPEATS = 2
 BLOCK_WORDS = 50_000
 MAX_BLOCKS = 4096
+LAST_BLOCKS = 8
 SHARDS = 64
 SEED = 20_071
 
@@ -84,11 +85,16 @@ def block_plan(blocks: pd.DataFrame, goal: dict[str | None, float], shards: int,
         size = int(words.sum())
         passes = int(goal[name] // size) if size else 0
         rest = int(round(goal[name])) - passes * size if size else 0
-        whole = int(np.searchsorted(np.cumsum(words), rest, side="right")) if rest > 0 else 0
+        whole, left_out, room = [], [], rest
+        for b, w in zip(ids.tolist(), words.tolist(), strict=True):
+            if 0 < rest and w <= room:
+                whole.append(b)
+                room -= w
+            else:
+                left_out.append((w, b))
         drawn = [(number, int(b), c, -1) for c in range(passes) for b in ids]
-        drawn += [(number, int(b), passes, -1) for b in ids[:whole]]
-        if rest > 0 and whole < len(ids):
-            drawn.append((number, int(ids[whole]), passes, rest - int(words[:whole].sum())))
+        drawn += [(number, b, passes, -1) for b in whole]
+        drawn += [(number, b, passes, room) for _, b in sorted(left_out)[:LAST_BLOCKS] if room > 0]
         rows.append(drawn)
         quotas.append(len(drawn))
     dealt = split_tree(np.array(quotas), shards, seed)
@@ -100,13 +106,31 @@ def block_plan(blocks: pd.DataFrame, goal: dict[str | None, float], shards: int,
     return plan.astype("int64")
 
 
+def fitting(sizes: list[int], room: int) -> list[bool]:
+    """Which documents to take: in the given order each one that still fits. If room is left, the
+    smallest document left out is tried first instead, and what leaves less room is kept."""
+    def fill(order: list[int]) -> tuple[int, list[bool]]:
+        left, taken = room, [False] * len(sizes)
+        for i in order:
+            if sizes[i] <= left:
+                taken[i] = True
+                left -= sizes[i]
+        return left, taken
+
+    order = list(range(len(sizes)))
+    left, taken = fill(order)
+    outside = sorted((sizes[i], i) for i in order if not taken[i] and sizes[i] <= room)
+    for _, i in outside[:3]:
+        if left == 0:
+            break
+        left, taken = min((left, taken), fill([i, *(j for j in order if j != i)]), key=lambda x: x[0])
+    return taken
+
+
 def _fitting(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Documents of one last block, in hash order, each taken if it still fits."""
+    """Documents of a source's last blocks that are taken, tried in hash order."""
     pdf = pdf.sort_values(["_mix_order", "_mix_row"], kind="stable")
-    left, taken = int(pdf["_mix_room"].iloc[0]), []
-    for size in pdf["_mix_size"]:
-        taken.append(size <= left)
-        left -= int(size) if taken[-1] else 0
+    taken = fitting(pdf["_mix_size"].tolist(), int(pdf["_mix_room"].iloc[0]))
     return pdf.loc[taken, ["_mix_row", "_mix_copy", "_mix_shard"]]
 
 
@@ -118,7 +142,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     for every row; draws: _mix_row, _mix_copy, _mix_shard, _mix_order for every copy taken.
 
     ``_mix_row`` numbers the rows of ``docs`` (monotonically_increasing_id), so repeated keys stay
-    apart. Null and empty texts have size 0; a null source is a source of its own, the last one;
+    apart. Only whole documents are taken, so a source misses its target by less than the smallest
+    document left out of its last blocks; that is much only where one document holds most of a source.
+    Null and empty texts have size 0; a null source is a source of its own, the last one;
     an empty table gives empty results. Equal hashes fall back to the row number.
     """
     spark = docs.sparkSession
