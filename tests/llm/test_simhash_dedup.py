@@ -81,3 +81,19 @@ def test_edge_cases(spark):
     kept = op.keep_one(docs).collect()
     assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 3, 8] and kept[0].__fields__ == ["doc_id", "text", "_class"]
     assert op.near_duplicates(docs.limit(0)).count() == 0 == op.keep_one(docs.limit(0)).count()
+
+
+def test_near_copies_are_found_and_others_are_left(spark):
+    rng = random.Random(9)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 10))) for _ in range(4000)]
+    rows, n = [], 120
+    for i in range(n):
+        words = [rng.choice(vocab[:40]) if rng.random() < 0.3 else rng.choice(vocab) for _ in range(300)]
+        copy = list(words)
+        for j in rng.sample(range(300), 4):  # about 0.93 of the five-word shingles stay
+            copy[j] = rng.choice(vocab)
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(copy))]
+    rows += [(5000 + i, " ".join(rng.choice(vocab[:40]) for _ in range(12))) for i in range(60)]
+    kept = {r["doc_id"] for r in op.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(range(n)) <= kept and len(kept & set(range(1000, 1000 + n))) <= 0.1 * n
+    assert len([d for d in kept if d >= 5000]) == 60
