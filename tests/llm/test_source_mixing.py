@@ -56,7 +56,8 @@ def corpus(spark, n=900):
 
 def test_taken_words_meet_the_targets(spark):
     docs = corpus(spark)
-    sizes, draws = op.mix(docs, block_words=700)
+    sizes, draws, shards = op.mix(docs, block_words=700)
+    assert shards == op.SHARDS
     count = {r["_mix_row"]: r["n"] for r in draws.groupBy("_mix_row").count().withColumnRenamed("count", "n").collect()}
     rows = sizes.collect()
     taken, want, have = {}, {}, {}

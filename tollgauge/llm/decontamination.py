@@ -36,7 +36,7 @@ LEAST_WORDS = 14
 SLICE_WORDS = 2_000_000
 SEED = 6007
 _PIECE = 60_000
-_CACHE = 400_000
+_CACHE = 150_000
 _TABLE_BITS = 22
 _STEPS = int(REACH * CLASSES[-1])
 _PUNCTUATION = b".,;:!?\"'()[]{}"

@@ -31,7 +31,7 @@ EPOCHS, BATCH, RATE, DECAY = 12, 128, 0.02, 1e-4
 _STATISTICS = 10
 _METADATA = WORDS + _STATISTICS * BINS
 FEATURES = _METADATA + 2 * BINS
-_CACHE = 400_000
+_CACHE = 150_000
 _SLICE = 400
 
 

@@ -29,6 +29,7 @@ BLOCK_WORDS = 50_000
 MAX_BLOCKS = 4096
 LAST_BLOCKS = 8
 SHARDS = 64
+SHARD_WORDS = 20_000_000
 SEED = 20_071
 
 
@@ -136,10 +137,11 @@ def _fitting(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS,
-        block_words: int = BLOCK_WORDS, max_blocks: int = MAX_BLOCKS, shards: int = SHARDS,
-        seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(sizes, draws). sizes: _mix_row, the key, source, _mix_size, _mix_source_size, _mix_target
-    for every row; draws: _mix_row, _mix_copy, _mix_shard, _mix_order for every copy taken.
+        block_words: int = BLOCK_WORDS, max_blocks: int = MAX_BLOCKS, shards: int | None = None,
+        seed: int = SEED) -> tuple[DataFrame, DataFrame, int]:
+    """(sizes, draws, shards). sizes: _mix_row, the key, source, _mix_size, _mix_source_size,
+    _mix_target for every row; draws: _mix_row, _mix_copy, _mix_shard, _mix_order for every copy taken;
+    shards: their number, if not given ``SHARDS`` or as many as keep one at about ``SHARD_WORDS`` words.
 
     ``_mix_row`` numbers the rows of ``docs`` (monotonically_increasing_id), so repeated keys stay
     apart. Only whole documents are taken, so a source misses its target by less than the smallest
@@ -154,6 +156,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     per_source = rows.groupBy("_mix_name").agg(F.sum("_mix_size").alias("size")).collect()  # a row per source
     sizes = {r["_mix_name"]: int(r["size"]) for r in per_source}
     goal = targets(sizes, weights, share, max_repeats)
+    shards = shards or max(SHARDS, math.ceil(sum(goal.values()) / SHARD_WORDS))
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     facts = _local(spark, [(i, n, sizes[n], goal[n], min(max_blocks, max(1, math.ceil(sizes[n] / block_words))))
                            for i, n in enumerate(names)],
@@ -173,7 +176,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     draws = drawn.where("_mix_room < 0").select(part).unionByName(fitted)
     return (known.select("_mix_row", F.col("_mix_key").alias(key), F.col("_mix_name").alias(source), "_mix_size",
                          "_mix_source_size", "_mix_target"),
-            draws.withColumn("_mix_order", F.xxhash64("_mix_shard", "_mix_row", "_mix_copy", F.lit(seed))))
+            draws.withColumn("_mix_order", F.xxhash64("_mix_shard", "_mix_row", "_mix_copy", F.lit(seed))), shards)
 
 
 def _local(spark: SparkSession, rows: list, schema: str) -> DataFrame:
@@ -184,17 +187,16 @@ def _local(spark: SparkSession, rows: list, schema: str) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row per copy taken, with the columns of ``docs`` and mix_shard, mix_copy
     (existing columns of these names are replaced), each shard in one partition and shuffled."""
-    _, draws = mix(docs, **options)
+    _, draws, shards = mix(docs, **options)
     rows = docs.withColumn("_mix_row", F.monotonically_increasing_id())
     kept = [c for c in docs.columns if c not in ("mix_shard", "mix_copy")]
-    shards = options.get("shards", SHARDS)
     out = rows.join(draws, "_mix_row").repartition(shards, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_order", "_mix_row")
     return out.select(*[F.col(f"`{c}`") for c in kept], F.col("_mix_shard").alias("mix_shard"),
                       F.col("_mix_copy").alias("mix_copy"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes, draws = mix(table(spark, sf_dir, "documents"))
+    sizes, draws, _ = mix(table(spark, sf_dir, "documents"))
     copies = draws.groupBy("_mix_row").agg(F.count("*").alias("copies"))
     return sizes.join(copies, "_mix_row", "left").select(
         "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),

@@ -28,7 +28,7 @@ SEED = 4101
 LEAST_DOCS = 3
 PENALTY, SWAP_PENALTY, ROUNDS = 2e-3, 1.0, 150
 _BITS = 20
-_CACHE = 400_000
+_CACHE = 150_000
 _TOKEN = re.compile(rb"[a-z0-9'\x80-\xff]+")
 
 #: fixed values: terms that may be swapped for one another
