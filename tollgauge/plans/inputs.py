@@ -289,10 +289,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        # a caller whose tables are single files may ask for its scans to be dealt out; unset, none is
+        self.scan_partitions = int(spark.conf.get("spark.tollgauge.scanPartitions", "0"))
 
     def __call__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            rows = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return rows.repartition(self.scan_partitions) if self.scan_partitions else rows
         deps, text = DERIVED[name]
         return self.spark.sql(text, **{d: self(d) for d in deps})
 
