@@ -193,9 +193,10 @@ def repeats(docs: DataFrame, text: str = "text", with_text: bool = False, most:
     nothing; an empty table gives an empty result. No other column is read.
     """
     data = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    texts = docs.select(F.unhex(F.md5(data)).alias("id"), data.alias("data")).groupBy("id").agg(
+    # every use of texts takes all its columns and the same filter (which an inner join would add for
+    # itself alone): then one exchange of the texts serves them all
+    texts = docs.select(F.unhex(F.md5(data)).alias("id"), data.alias("data")).where("id is not null").groupBy("id").agg(
         F.first("data").alias("data"), F.count("*").alias("copies"))
-    # every use of texts takes all its columns: then one exchange of the texts serves them all
     found = texts.mapInPandas(
         _anchor_rows, "id binary, gram array<bigint>, context array<bigint>, pos array<int>")
     flat = found.select("id", F.inline(F.arrays_zip("gram", "context", "pos")))
