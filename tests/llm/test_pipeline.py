@@ -50,6 +50,24 @@ def test_one_of_each_class_stays(spark, stages):
     assert ids(after) == sorted(set(label.values()))
 
 
+def test_dropped_documents_share_four_fifths_of_their_shingles(stages):
+    before, after = stages[1]
+    sets = {}
+    for r in before.collect():
+        words = (r["text"] or "").lower().split()
+        sets[r["doc_id"]] = {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    label = {d: d for d in sets}
+    links = [(a, b) for a in sets for b in sets if b < a and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    moved = True
+    while moved:  # all pairs: the least id that links reach
+        moved = False
+        for a, b in links:
+            if label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                moved = True
+    assert ids(after) == sorted(set(label.values()))
+
+
 def test_repeated_strings_go(stages):
     before, after = stages[2]
     seen, gone = {}, {}

@@ -97,3 +97,54 @@ def test_near_copies_are_found_and_others_are_left(spark):
     kept = {r["doc_id"] for r in op.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert set(range(n)) <= kept and len(kept & set(range(1000, 1000 + n))) <= 0.1 * n
     assert len([d for d in kept if d >= 5000]) == 60
+
+
+def brute_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_near_classes(texts):
+    """Least index that pairs with a five-word-shingle Jaccard of 0.8 or more reach."""
+    sets = [brute_shingles(t) for t in texts]
+    label, moved = list(range(len(sets))), True
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    while moved:
+        moved = False
+        for i, j in links:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                moved = True
+    return label, links
+
+
+def test_every_near_copy_is_verified_and_none_is_missed(spark):
+    rng = random.Random(4)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 10))) for _ in range(4000)]
+    texts = []
+    for i in range(60):
+        words = [rng.choice(vocab) for _ in range(200)]
+        shuffled = rng.sample(words, 200)  # the same words in another order
+        texts += [" ".join(words), " ".join(shuffled)]
+        for n in (2, 3, 4, 5, 6, 12, 20):  # similarities on both sides of 0.8
+            copy = list(words)
+            for j in rng.sample(range(200), n):
+                copy[j] = rng.choice(vocab)
+            texts.append(" ".join(copy))
+    base = [rng.choice(vocab) for _ in range(200)]
+    for _ in range(150):  # a large group
+        copy = list(base)
+        for j in rng.sample(range(200), rng.randint(0, 9)):
+            copy[j] = rng.choice(vocab)
+        texts.append(" ".join(copy))
+    texts += ["pay 17 now", "pay 18 now", "Pay 17  now", "", None, "a b c d", "a b c e"]
+    label, links = brute_near_classes(texts)
+    rows = list(enumerate(texts))
+    got = {r["_key"]: r["_class"] for r in op.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert same_partition(got, dict(enumerate(label)))
+    assert len(links) > 200 and len(set(label)) > 200
+
+
+def test_similarity_below_the_bands_is_refused(spark):
+    with pytest.raises(ValueError):
+        op.near_copies(spark.createDataFrame([(1, "a")], "doc_id long, text string"), similarity=0.5)
