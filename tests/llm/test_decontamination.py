@@ -90,3 +90,44 @@ def test_edge_cases(spark):
     assert [r["doc_id"] for r in op.clean(docs, bench).orderBy("doc_id").collect()] == [2, 3, 4] and op.clean(docs, bench).columns == docs.columns
     assert op.contaminated(docs, bench, slice_words=10).count() == 3
     assert op.contaminated(docs.limit(0), bench).count() == 0 == op.contaminated(docs, bench.limit(0)).count()
+
+
+def distances(items, docs):
+    """Brute force: least distance of each pair within 20 % word edits."""
+    words, out = {i: t.split() for i, t in items}, {}
+    for d, text, *_ in docs:
+        for i, item in words.items():
+            best = brute_distance(item, text.split())[0]
+            if best <= len(item) - np.ceil(0.8 * len(item) - 1e-9):
+                out[d, i] = best
+    return out
+
+
+def searched(spark, items, docs):
+    found = op.contaminated(spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string"),
+                            spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r["doc_id"], r["item_id"]): r["distance"] for r in found}
+
+
+def sized(seed, low, high, share, n=60):
+    rng = random.Random(seed)
+    vocab = vocabulary(rng)
+    draw = lambda n: [rng.choice(vocab[:60]) if rng.random() < 0.4 else rng.choice(vocab) for _ in range(n)]
+    items = [draw(rng.randint(low, high)) for _ in range(n)]
+    docs = [(i, " ".join(draw(rng.randint(0, 40)) + edit(items[i % n], int(share * len(items[i % n])), rng, vocab) + draw(rng.randint(0, 40))))
+            for i in range(2 * n)]
+    return [(i, " ".join(w)) for i, w in enumerate(items)], docs
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.2])
+def test_short_items_are_all_found(spark, share):
+    items, docs = sized(3, 1, 13, share)
+    want = distances(items, docs)
+    assert len(want) > 100 and searched(spark, items, docs) == want
+
+
+def test_scripts_without_spaces(spark):
+    item = "水的化学式是什么？请选择正确的答案。"
+    docs = [(1, "前言，" + item + "结束"), (2, "题目：水的化学式为什么，请选择正确答案"), (3, "今天天气很好，我们去公园散步吧。"), (4, "答案")]
+    got = searched(spark, [(1, item), (2, "日本語のテスト")], [*docs, (5, "これは日本語のテストです")])
+    assert {k for k, d in got.items()} == {(1, 1), (2, 1), (5, 2)} and got[1, 1] == 0 == got[5, 2]

@@ -12,11 +12,15 @@ of the item is the window's size. The walk of a longer window begins with that o
 so one walk per start serves all size classes; a class samples only steps that lie within its
 smallest size.
 
+An item under ``SHORT_WORDS`` words is cut into one piece more than the edits it may have. One of them stands
+unedited in every copy, so a look-up of the pieces at every word finds all copies, for items of any length.
+
 The items are small, the documents are not: an index of at most ``SLICE_WORDS`` words goes to every
 task, and a larger benchmark is searched slice by slice. Documents are read where they lie.
 """
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +36,8 @@ WALKS, BANDS, KEYS = 3, 4, 4
 CLASSES = (6, 12, 24, 40)
 REACH = 1.6
 ANCHOR = 8
-LEAST_WORDS = 14
+LEAST_WORDS = 1
+SHORT_WORDS = 14
 SLICE_WORDS = 2_000_000
 SEED = 6007
 _PIECE = 60_000
@@ -40,6 +45,9 @@ _CACHE = 150_000
 _TABLE_BITS = 22
 _STEPS = int(REACH * CLASSES[-1])
 _PUNCTUATION = b".,;:!?\"'()[]{}"
+_WIDE_PUNCTUATION = re.compile("[\u3000-\u3004\u3008-\u3020\u3030\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+#: Thai, Lao, Burmese, Khmer, kana and Han: written without spaces, so each character is a word
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -61,7 +69,10 @@ class Words(dict):
 
     def of(self, text: str | None) -> np.ndarray:
         """Hashes of the words of a text."""
-        words = (text or "").encode().lower().split()
+        text = text or ""
+        if not text.isascii() and _UNSPACED.search(text):
+            text = _UNSPACED.sub(r" \1 ", _WIDE_PUNCTUATION.sub(" ", text))
+        words = text.encode().lower().split()
         found = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
         return found[found != 0]
 
@@ -115,15 +126,42 @@ def walk_keys(flat: np.ndarray, at: np.ndarray, walk: int) -> list[list[np.ndarr
     return out
 
 
+def edits(size: int, similarity: float = SIMILARITY) -> int:
+    """Word edits that an item of so many words may have."""
+    return size - math.ceil(similarity * size - 1e-9)
+
+
+def piece_keys(flat: np.ndarray, length: int) -> np.ndarray:
+    """Keys of all windows of so many words."""
+    key = np.zeros(max(0, len(flat) - length + 1), np.uint64)
+    for j in range(length):
+        key = _mixed(key ^ flat[j:len(key) + j], SEED + 1)
+    return key
+
+
 class Index:
-    """Items by their sampled keys."""
+    """Items by their sampled keys, short ones by their pieces."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
+    def __init__(self, items: list[tuple[int, np.ndarray]], similarity: float = SIMILARITY):
         self.items = items
+        pieces: dict[int, list[tuple[int, int, int]]] = {}  # length -> key, item number, start within it
+        for number, (_, words) in enumerate(items):
+            if 0 < len(words) < SHORT_WORDS:
+                n = min(len(words), edits(len(words), similarity) + 1)
+                cuts = [len(words) * i // n for i in range(n + 1)]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    pieces.setdefault(b - a, []).append((int(piece_keys(words[a:b], b - a)[0]), number, a))
+        self.pieces = {}
+        for length, rows in pieces.items():
+            rows.sort()
+            table = np.zeros(1 << _TABLE_BITS, bool)
+            keys = np.array([r[0] for r in rows], np.uint64)
+            table[keys >> np.uint64(64 - _TABLE_BITS)] = True
+            self.pieces[length] = keys, np.array([r[1:] for r in rows], np.int64), table
         rows = []  # item number, start within it, class
         flat, bounds = [], 0
         for number, (_, words) in enumerate(items):
-            for a in starts(words).tolist():
+            for a in starts(words).tolist() if len(words) >= SHORT_WORDS else []:
                 left = len(words) - a
                 if left >= CLASSES[0] and 2 * left >= len(words):
                     rows.append((number, a, sum(left >= low for low in CLASSES) - 1, bounds + a))
@@ -155,6 +193,13 @@ class Index:
         """(item number, word where the item would begin) of all windows that share a key, with the
         word where the window begins."""
         at, found = starts(flat), {}
+        for length, (have, rows, table) in self.pieces.items():
+            key = piece_keys(flat, length)
+            maybe = np.flatnonzero(table[key >> np.uint64(64 - _TABLE_BITS)])
+            first, last = np.searchsorted(have, key[maybe], "left"), np.searchsorted(have, key[maybe], "right")
+            for i, a, b in zip(maybe[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist(), strict=True):
+                for number, start in rows[a:b].tolist():
+                    found[number, i - start] = i
         for walk in range(WALKS):
             keys = walk_keys(flat, at, walk)
             for (w, c, band), have in self.keys.items():
@@ -190,7 +235,7 @@ class Index:
 
 def _searcher(items: list[tuple[int, np.ndarray]], similarity: float):
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, words = Index(items), Words()
+        index, words = Index(items, similarity), Words()
         for frame in frames:
             texts = [words.of(t) for t in frame["text"]]
             keys, out = frame["key"].tolist(), []
@@ -204,7 +249,7 @@ def _searcher(items: list[tuple[int, np.ndarray]], similarity: float):
                 best: dict[tuple[int, int], tuple[int, int]] = {}
                 for (number, at), anchor in sorted(index.candidates(flat).items()):
                     size = len(items[number][1])
-                    slack = size - math.ceil(similarity * size - 1e-9)
+                    slack = edits(size, similarity)
                     doc = int(np.searchsorted(begin, anchor, "right")) - 1
                     if best.get((doc, number), (1, 0))[0] == 0:
                         continue
@@ -226,9 +271,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", sim
     edits), similarity (1 - distance / item words), item_words and end_word (the last word of the
     best place, counted from 1; the first of equally good ones).
 
-    An item is found if some part of the text is within (1 - similarity) x its words. Items under
-    ``LEAST_WORDS`` words are ordinary phrases and are not searched; null or empty texts and items
-    give no row; repeated items are searched once per item_id and repeated documents give a row each.
+    An item is found if some part of the text is within (1 - similarity) x its words, so one under five
+    words only if it stands there unedited. Characters of scripts without spaces count as words. Null
+    or empty texts and items give no row; repeated items are searched once per item_id and repeated documents give a row each.
     """
     sizes = benchmark.select("item_id", "text").where("text is not null and item_id is not null").distinct()
     total = sizes.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
