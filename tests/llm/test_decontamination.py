@@ -131,3 +131,11 @@ def test_scripts_without_spaces(spark):
     docs = [(1, "前言，" + item + "结束"), (2, "题目：水的化学式为什么，请选择正确答案"), (3, "今天天气很好，我们去公园散步吧。"), (4, "答案")]
     got = searched(spark, [(1, item), (2, "日本語のテスト")], [*docs, (5, "これは日本語のテストです")])
     assert {k for k, d in got.items()} == {(1, 1), (2, 1), (5, 2)} and got[1, 1] == 0 == got[5, 2]
+
+
+@pytest.mark.parametrize("low, high, recall", [(14, 19, 1.0), (20, 39, 1.0), (15, 60, 0.95)])
+def test_recall_at_the_threshold(spark, low, high, recall):
+    items, docs = sized(11, low, high, 0.2, 60)
+    want, got = distances(items, docs), searched(spark, items, docs)
+    hit = [k for k in want if k in got]
+    assert len(hit) >= recall * len(want) and all(got[k] == want[k] for k in hit) and got.keys() <= want.keys()

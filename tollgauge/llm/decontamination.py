@@ -37,7 +37,7 @@ CLASSES = (6, 12, 24, 40)
 REACH = 1.6
 ANCHOR = 8
 LEAST_WORDS = 1
-SHORT_WORDS = 14
+SHORT_WORDS = 40
 SLICE_WORDS = 2_000_000
 SEED = 6007
 _PIECE = 60_000
