@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: one per operator, over its whole table."""
 
 from tollgauge.llm import (
-    decontamination, language_id, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup,
-    token_counts, toxicity, url_filters)
+    conversation_repair, decontamination, language_id, minhash_fingerprints, quality_classifier, quality_rules, simhash_dedup,
+    source_mixing, suffix_dedup, token_counts, toxicity, url_filters)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_dedup.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_quality_classifier": quality_classifier.query,
     "op10_source_mixing": source_mixing.query,
+    "op12_conversation_repair": conversation_repair.query,
+    "op13_minhash_fingerprints": minhash_fingerprints.query,
 }
 
 ORACLES = {
