@@ -58,6 +58,44 @@ def graded_rows(graded: DataFrame) -> DataFrame:
         F.when(dev <= F.col("tol"), "accurate").otherwise("off").alias("verdict"))
 
 
+def accuracy_mart(graded: DataFrame, sources: DataFrame) -> DataFrame:
+    """The published corpus: every usable answer with its category's metric, source and reference, closest first within
+    a category and then cheapest (``rank``). Input sources: one row per category (category, metric, source); the
+    reference is the one each answer was graded against."""
+    price = F.coalesce(F.nullif("quoted", F.lit(0.0)), F.lit(9.0))
+    dev = F.abs(F.coalesce("dev", F.lit(0.0)))
+    rows = graded.where("value IS NOT NULL").join(sources.select("category", "metric", "source"), "category", "left")
+    return rows.select(
+        "category", F.coalesce("metric", "category").alias("metric"), "source", F.col("ref").alias("reference"), "unit",
+        F.col("tol").alias("tolerance"), "host", "url", "value", F.col("dev").alias("deviation"), F.col("quoted").alias("price_usdc"),
+        F.when(dev <= F.col("tol"), "accurate").otherwise("off").alias("verdict"), dev.alias("abs_dev"), price.alias("_price"))
+
+
+def accuracy_order(mart: DataFrame) -> DataFrame:
+    return mart.orderBy("category", "abs_dev", "_price", "url").drop("_price")
+
+
+def accuracy_answer(mart: DataFrame, category: str | None = None, limit: int = 10) -> DataFrame:
+    """One row: the closest sellers of a category with what they were graded against, or, where the category is missing or unknown, the
+    categories there are. Limits run from 1 to 50; ``limit`` states the one used."""
+    k, asked = min(max(int(limit), 1), 50), (category or "").strip().lower()
+    mine = mart.where(F.lower("category") == asked)
+    top = mine.orderBy("abs_dev", "_price", "url").limit(k).agg(F.array_sort(F.collect_list(F.struct(
+        "abs_dev", "_price", "url", "host", "value", "deviation", "unit", "price_usdc", "verdict"))).alias("_top"))
+    facts = mine.agg(F.count("*").alias("count"), F.min("metric").alias("metric"), F.min("source").alias("graded_against"),
+                     F.min("reference").alias("reference"))
+    # a name a category
+    names = mart.agg(F.array_sort(F.collect_set("category")).alias("_names"))
+    one = lambda df: df.withColumn("_k", F.lit(1))
+    found = F.col("count") > 0
+    return one(facts).join(one(top), "_k").join(one(names), "_k").select(
+        F.lit(asked or None).cast("string").alias("category"), found.alias("found"), "metric", "graded_against", "reference", "count",
+        F.lit(k).alias("limit"), F.transform("_top", lambda r: F.struct(
+            r["host"].alias("host"), r["value"].alias("returned"), r["deviation"].alias("off_by"), r["unit"].alias("unit"),
+            r["price_usdc"].alias("price_usdc"), r["verdict"].alias("verdict"))).alias("ranked"),
+        F.when(~found, F.col("_names")).alias("available_categories"))
+
+
 def accuracy_board(graded: DataFrame) -> DataFrame:
     """Published order per category: closest first, then cheapest (unpriced counts as 9)."""
     return graded_rows(graded).orderBy(

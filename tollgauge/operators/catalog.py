@@ -166,7 +166,8 @@ def find_api(rows: DataFrame, accurate: DataFrame, task: str, max_price: float |
     """Endpoints for a task: words found in the description, the whole phrase counting again as
     much, sellers proven accurate first; one endpoint per host.
 
-    Input accurate: (host, off_by, unit) of sellers whose number was right.
+    Input accurate: (host, category, off_by, unit, metric) of sellers whose number was right. Each row says what proved its
+    seller right (``graded_accurate``), where it can be paid and how it was graded; limits run from 1 to 25.
     """
     task = task.strip().lower()
     words = [w for w in task.split() if len(w) > 2]
@@ -180,14 +181,15 @@ def find_api(rows: DataFrame, accurate: DataFrame, task: str, max_price: float |
         kept = kept.where(F.col("price_usdc") <= max_price)
     scored = kept.withColumn("_hits", hits).where("_hits > 0")
     one = scored.groupBy("host").agg(F.min_by(
-        F.struct("url", "descr", "price_usdc", "method", "reliability", "price_honest",
-                 "payto_honest", "_hits"),
+        F.struct("url", "descr", "price_usdc", "method", "chains", "reliability", "price_honest",
+                 "payto_honest", "grades", "_hits"),
         F.struct((-F.col("_hits")).alias("h"), (-F.col("reliability")).alias("r"),
                  F.coalesce("price_usdc", F.lit(9e9)).alias("p"), F.col("url"))).alias("e"))
-    proof = first_per(accurate.select("host", "category", "off_by", "unit"), ["host"],
+    proof = first_per(accurate.select("host", "category", "off_by", "unit", "metric"), ["host"],
                       F.col("category"), F.abs("off_by"))
+    right = F.when(F.col("category").isNotNull(), F.struct("off_by", "unit", F.col("metric").alias("vs")))
     ranked = one.join(proof, "host", "left").select(
-        "host", "e.*", "off_by", "unit",
+        "host", "e.*", "off_by", "unit", right.alias("graded_accurate"),
         (F.col("e._hits") + F.when(F.col("category").isNotNull(), 1000).otherwise(0)).alias("score"))
     k = min(max(int(limit), 1), 25)
     return ranked.drop("_hits").orderBy(
@@ -211,20 +213,32 @@ def preflight(verdicts: DataFrame, hosts: DataFrame) -> DataFrame:
         .when(light == "green", fixed.GATE_LITTLE)
         .when(light == "yellow", fixed.GATE_HOLD)
         .when(light == "red", fixed.GATE_ABORT).otherwise(fixed.GATE_UNRATED))
-    return rows.select("host", label.alias("verdict"), light.alias("light"), "score",
-                       gate.alias("gate"), "reasons", "receipts", "disputes", "delivered",
-                       "accurate", "checked_live")
+    evidence = F.when(known, F.struct("receipts", "disputes", "delivered", "accurate", "checked_live"))
+    return rows.select("host", label.alias("verdict"), light.alias("light"), "score", gate.alias("gate"),
+                       F.coalesce("reasons", F.array().cast(verdicts.schema["reasons"].dataType)).alias("reasons"),
+                       evidence.alias("evidence"), F.concat(F.lit("/s/"), "host").alias("seller_page"),
+                       F.lit(fixed.ALWAYS_READ).alias("always"))
 
 
-def payment_safety(probe: DataFrame, board: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Warnings to read before paying, from the probe mart and the board."""
+def preflight_detail(verdicts: DataFrame, probe: DataFrame, board: DataFrame, posts: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``preflight`` with all that ``payment_safety`` knows of each host as ``detail_checks``."""
+    told = payment_safety(probe, board, hosts, posts)
+    detail = told.select("host", F.struct(*[c for c in told.columns if c != "host"]).alias("detail_checks"))
+    return preflight(verdicts, hosts).join(detail, "host")
+
+
+def payment_safety(probe: DataFrame, board: DataFrame, hosts: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+    """Warnings to read before paying, from the probe mart and the board, with the live check, the demand and, with
+    ``posts``, the grades that they come from."""
     asked = hosts.select(norm_host(F.col("host")).alias("host")).where("host != ''").distinct()
     demand = board.where("host != ''").groupBy(F.lower("host").alias("host")).agg(
-        F.min_by(F.struct("payout_pct", "demand"),
+        F.min_by(F.struct("usdc", "payers", "demand", "organic_score", "payout_pct"),
                  F.struct(-F.col("usdc"), F.coalesce("address", F.lit("")))).alias("_d"))
-    checks = probe.select(F.lower("host").alias("host"), "checked", "returns_402", "price_ok",
-                          "payto_ok", "phantom", "mismatches", F.lit(True).alias("_p"))
+    checks = probe.select(F.lower("host").alias("host"), "checked", "returns_402", "price_ok", "payto_ok", "phantom", "median_ms",
+                          "free_tier", "mismatches", F.lit(True).alias("_p"))
     rows = asked.join(checks, "host", "left").join(demand, "host", "left")
+    if posts is not None:
+        rows = rows.join(grades_by_service(posts).select(F.lower("service").alias("host"), "grades"), "host", "left")
     live = F.col("_p").isNotNull()
     shown = F.array_join(F.transform(F.slice(F.coalesce(
         "mismatches", F.array().cast("array<struct<url:string,listed:double,live:double>>")), 1, 2),
@@ -240,7 +254,15 @@ def payment_safety(probe: DataFrame, board: DataFrame, hosts: DataFrame) -> Data
         F.when(F.col("_d.payout_pct") >= 90, F.format_string(
             fixed.WARN_RECYCLES, F.col("_d.payout_pct").cast("string"))),
         F.when(F.col("_d.demand") == "one wallet", fixed.WARN_ONE_WALLET)))
-    return rows.select("host", live.alias("checked_live"), warnings.alias("warnings"))
+    check = F.when(live, F.struct(
+        F.col("checked").alias("endpoints_checked"), F.col("returns_402").alias("returns_402_unpaid"),
+        F.col("price_ok").alias("price_matches_listing"), F.col("payto_ok").alias("payto_matches_listing"),
+        F.col("phantom").alias("phantom_paywall"), "median_ms", "free_tier"))
+    money = F.when(F.col("_d").isNotNull(), F.struct(
+        F.col("_d.usdc").alias("usdc_received"), F.col("_d.payers").alias("paying_wallets"), F.col("_d.demand").alias("demand_shape"),
+        F.col("_d.organic_score").alias("organic_demand_score"), F.col("_d.payout_pct").alias("sends_back_pct")))
+    return rows.select("host", live.alias("checked_live"), warnings.alias("warnings"), check.alias("live_check"), money.alias("demand"),
+                       *([F.col("grades")] if posts is not None else []))
 
 
 def market_summary(totals: DataFrame, tape: DataFrame) -> DataFrame:

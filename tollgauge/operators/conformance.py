@@ -65,7 +65,7 @@ def conformance_rows(calls: DataFrame) -> DataFrame:
         F.when(returned, F.col("missing")).otherwise(F.col("expect")).alias("missing"),
         F.when(returned, F.col("extra")).otherwise(F.array().cast("array<string>")).alias("extra"),
         F.when(returned, F.col("why")).otherwise(
-            F.substring(F.coalesce("error", F.lit("call failed")), 1, 170)).alias("why"),
+            F.coalesce("error", F.lit("call failed"))).alias("why"),
         (returned & F.col("conforms")).alias("conforms"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tollgauge.functions.demand import directory_demand
 from tollgauge.fixed_values import MEMBER_NOISE
 from tollgauge.operators.board import noise_count
-from tollgauge.sources.storage import ensure_checkpoint_dir
+from tollgauge.sources.storage import drop_checkpoint, ensure_checkpoint_dir
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates large-star and small-star (Kiveris et al., 2014), which needs a logarithmic
     number of rounds even on long chains. Minima are combining aggregates, and the join of a
     hot node's edges meets one row per node, which adaptive skew handling can split. Each
-    round is checkpointed to the shared folder, so lost executors do not replay the loop.
+    round is checkpointed to the shared folder, so lost executors do not replay the loop; the round
+    before it is removed once it stands.
     """
     spark: SparkSession = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -41,7 +42,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     current = edges.where("a != b").select("a", "b").distinct().checkpoint()
     seen = None
     for _ in range(max_rounds):
-        current = _small_star(_large_star(current).distinct()).distinct().checkpoint()
+        before, current = current, _small_star(_large_star(current).distinct()).distinct().checkpoint()
+        drop_checkpoint(before)
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break
@@ -53,15 +55,46 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         "node", F.coalesce("label", "node").alias("component"))
 
 
-def service_components(services: DataFrame) -> DataFrame:
-    """Component of every service in the service-wallet graph."""
+def extend_components(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after new edges, from those before: (node, component) of every old and new node.
+
+    The old graph is not read again. New edges are drawn between the old components of their ends, so the contraction works on
+    as many rows as there are new edges; components that no new edge touches only pass through a join.
+    """
+    known = labels.select("node", "component")
+    fresh = edges.select("a", "b")
+    for end in ("a", "b"):
+        seen = known.select(F.col("node").alias(end), F.col("component").alias("_c"))
+        fresh = fresh.join(seen, end, "left").withColumn(f"_{end}", F.coalesce("_c", F.col(end))).drop("_c")
+    moved = components(fresh.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).select(
+        F.col("node").alias("component"), F.col("component").alias("_to"))
+    new = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(known, "node", "left_anti").select(
+        "node", F.col("node").alias("component"))
+    return known.unionByName(new).join(moved, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+
+
+def component_flags(members: DataFrame) -> DataFrame:
+    """Flags of a component's members, a row each: a component may have any number of them."""
+    return members.select("component", F.explode("flags").alias("flag")).distinct()
+
+
+def service_edges(services: DataFrame) -> DataFrame:
+    """Edges between services and their wallets; each service also has one to itself."""
     named = services.select(F.concat(F.lit("svc:"), "origin").alias("a"), "payto")
     pairs = named.select("a", F.explode("payto").alias("w")).where("w != ''").select(
         "a", F.concat(F.lit("addr:"), F.lower("w")).alias("b")).distinct()
     lone = named.select("a", F.col("a").alias("b"))
-    labels = components(pairs.unionByName(lone))
-    return labels.where(F.col("node").startswith("svc:")).select(
-        F.substring("node", 5, 1000000).alias("origin"), "component")
+    return pairs.unionByName(lone)
+
+
+def services_of(labels: DataFrame) -> DataFrame:
+    """Component of every service of the service-wallet graph."""
+    return labels.where(F.col("node").startswith("svc:")).select(F.expr("substring(node, 5)").alias("origin"), "component")
+
+
+def service_components(services: DataFrame) -> DataFrame:
+    """Component of every service in the service-wallet graph."""
+    return services_of(components(service_edges(services)))
 
 
 def _member_order():

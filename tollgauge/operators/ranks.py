@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tollgauge.sources.storage import ensure_checkpoint_dir
+
 BUCKETS = 64
 
 
@@ -90,6 +92,30 @@ def quantiles_and_median(df: DataFrame, keys: Sequence[str], value: str) -> Data
     return found.select(*keys, "p10", "p90", ((F.col("_a") + F.col("_z")) / 2).alias("median"))
 
 
+def running_total(df: DataFrame, value: str, order: Sequence[str], out: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over all rows up to and with each one, in the order of columns that no two rows share.
+
+    No task sees all rows: they are dealt out by ranges of the order and stored; the totals of the ranges (a number for
+    each partition) are summed on the driver and come back as what stands before a range.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    dealt = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    totals = dealt.groupBy("_range").agg(F.sum(value).alias("_total"))
+    kind, before, so_far = totals.schema["_total"].dataType, [], None
+    for row in sorted(totals.collect()):
+        before.append((row["_range"], so_far))
+        if row["_total"] is not None:
+            so_far = row["_total"] if so_far is None else so_far + row["_total"]
+    known = spark.createDataFrame(before, f"_range int, _before {kind.simpleString()}")
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = F.sum(value).over(inside)
+    rows = dealt.withColumn("_here", here).join(F.broadcast(known), "_range")
+    total = F.when(F.col("_before").isNull(), F.col("_here")).when(F.col("_here").isNull(), F.col("_before")).otherwise(
+        F.col("_before") + F.col("_here"))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns if c != out], total.cast(kind).alias(out))
+
+
 def take_by_hash(df: DataFrame, keys: Sequence[str], room: str, name: str) -> DataFrame:
     """First ``room`` rows of each group in the order of md5(name), name.
 

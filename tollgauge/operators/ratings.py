@@ -70,52 +70,88 @@ def grade_spread(posts: DataFrame) -> DataFrame:
     return hits.where(F.col("rn") == F.col("offset") + 1).select("pick", "id", "service", "grade")
 
 
-def related(posts: DataFrame, k: int = 4) -> DataFrame:
+#: a tag on more tag sets than this is a common one
+COMMON_SETS = 200
+
+
+def _overlaps(sets: DataFrame, common: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """How many tags the tag sets of a scope share, without pairing all sets that share a common tag.
+
+    Input: one row per (scope, tset) with ``tags``. Gives three tables. ``rare`` (scope, tset, tset2, shared): pairs that share a
+    tag found on at most ``common`` sets, with all they share. ``kinds`` (scope, tset, kind): the common tags of a
+    set, as text. ``between`` (scope, kind, kind2, shared): how many common tags two kinds share, none included. Sets of one kind are
+    alike to every set that shares no rare tag with them, and there are few kinds: tags above the limit are few.
+    """
+    one = sets.select("scope", "tset", F.explode("tags").alias("t"))
+    spread = one.groupBy("scope", "t").agg((F.count("*") > common).alias("often"))
+    marked = one.join(spread, ["scope", "t"])
+    often = marked.where("often").groupBy("scope", "tset").agg(F.array_sort(F.collect_list("t")).alias("ct"))
+    kinds = sets.select("scope", "tset").join(often, ["scope", "tset"], "left").select(
+        "scope", "tset", F.coalesce("ct", F.array().cast("array<string>")).alias("ct")).withColumn("kind", F.array_join("ct", "\u0001"))
+    kind = kinds.select("scope", "kind", "ct").distinct()
+    between = kind.join(kind.select("scope", F.col("kind").alias("kind2"), F.col("ct").alias("ct2")), "scope").select(
+        "scope", "kind", "kind2", F.size(F.array_intersect("ct", "ct2")).cast("bigint").alias("shared"))
+    seldom = marked.where("not often").select("scope", "tset", "t")
+    pairs = seldom.join(seldom.select("scope", F.col("tset").alias("tset2"), "t"), ["scope", "t"]).groupBy(
+        "scope", "tset", "tset2").agg(F.count("*").alias("n"))
+    of = kinds.select("scope", "tset", "kind")
+    rare = pairs.join(of, ["scope", "tset"]).join(of.select("scope", F.col("tset").alias("tset2"), F.col("kind").alias("kind2")), [
+        "scope", "tset2"]).join(between, ["scope", "kind", "kind2"]).select(
+        "scope", "tset", "tset2", (F.col("n") + F.col("shared")).alias("shared"))
+    return rare, of, between
+
+
+def _first(rows: DataFrame, keys: list[str], n: int, *order) -> DataFrame:
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")
+
+
+def related(posts: DataFrame, k: int = 4, common: int = COMMON_SETS) -> DataFrame:
     """The k posts most related to each post: same service first, then most shared tags, then
     lowest id; posts that share neither are not related.
 
     Posts with the same service and tag set are interchangeable, so candidates are ranked per
-    (service, tag set) profile and each profile carries only the few ids that can still win.
-    Pairs are formed between distinct tag sets, never between posts.
+    (service, tag set) profile and each profile carries only the few ids that can still win. Pairs are formed
+    between tag sets that share a rare tag, and between the few kinds of sets that common tags make; of
+    each kind only the lowest ids can win, so pairs grow with the posts however common a tag is.
     """
+    none = F.array().cast("array<string>")
     tagged = posts.select("id", F.coalesce("service", F.lit("")).alias("service"),
-                          F.array_sort(F.array_distinct("tags")).alias("tags"))
+                          F.array_sort(F.array_distinct(F.coalesce("tags", none))).alias("tags"))
     tagged = tagged.withColumn("tset", F.array_join("tags", "\u0001"))
-    profile = Window.partitionBy("service", "tset").orderBy("id")
-    few = tagged.withColumn("rn", F.row_number().over(profile)).where(F.col("rn") <= k + 1).select(
-        "service", "tset", "tags", "id")
-    sets = tagged.select("tset", "tags").distinct()
-    one = sets.select("tset", F.explode("tags").alias("t"))
-    overlap = one.join(one.select(F.col("tset").alias("tset2"), "t"), "t").groupBy(
-        "tset", "tset2").agg(F.count("*").alias("shared"))
+    few = _first(tagged, ["service", "tset"], k + 1, "id").select("service", "tset", "id")
+    profiles = tagged.select("service", "tset").distinct()
+
     # same service: any tag set counts, shared tags break the order
-    profiles = tagged.where("service != ''").select("service", "tset").distinct()
-    peers = profiles.join(few.where("service != ''").select(
-        "service", F.col("tset").alias("tset2"), "id"), "service")
-    peers = peers.join(overlap, ["tset", "tset2"], "left").select(
-        "service", "tset", "id", F.coalesce("shared", F.lit(0)).alias("shared"))
-    in_service = Window.partitionBy("service", "tset").orderBy(F.desc("shared"), "id")
-    same = peers.withColumn("rn", F.row_number().over(in_service)).where(F.col("rn") <= k + 1).select(
-        "service", "tset", "id", F.lit(0).alias("grp"), "shared")
-    # other services: per tag set keep k ids of each service, then the first 2k; whichever
-    # service is left out, k ids remain
-    cand = overlap.join(few.select(F.col("tset").alias("tset2"), "service", "id"), "tset2")
-    per_service = Window.partitionBy("tset", "service").orderBy(F.desc("shared"), "id")
-    capped = cand.withColumn("rn", F.row_number().over(per_service)).where(F.col("rn") <= k)
-    overall = Window.partitionBy("tset").orderBy(F.desc("shared"), "id")
-    lead = capped.withColumn("rn", F.row_number().over(overall)).where(F.col("rn") <= 2 * k + 1).select(
+    own = tagged.where("service != ''").select(F.col("service").alias("scope"), "tset", "tags").distinct()
+    rare, kinds, between = _overlaps(own, common)
+    mine = few.where("service != ''").withColumnRenamed("service", "scope")
+    by_rare = rare.join(mine.select("scope", F.col("tset").alias("tset2"), "id"), ["scope", "tset2"]).select("scope", "tset", "id", "shared")
+    of_kind = _first(mine.join(kinds, ["scope", "tset"]), ["scope", "kind"], k + 1, "id")
+    by_kind = kinds.join(between, ["scope", "kind"]).join(
+        of_kind.select("scope", F.col("kind").alias("kind2"), "id"), ["scope", "kind2"]).select("scope", "tset", "id", "shared")
+    peers = by_rare.unionByName(by_kind).groupBy("scope", "tset", "id").agg(F.max("shared").alias("shared"))
+    same = _first(peers, ["scope", "tset"], k + 1, F.desc("shared"), "id").select(
+        F.col("scope").alias("service"), "tset", "id", F.lit(0).alias("grp"), "shared")
+
+    # other services: per tag set keep k ids of each service, then the first 2k; whichever service is left out, k ids remain
+    sets = tagged.select(F.lit("").alias("scope"), "tset", "tags").distinct()
+    rare, kinds, between = (df.drop("scope") for df in _overlaps(sets, common))
+    by_rare = rare.join(few.select(F.col("tset").alias("tset2"), "service", "id"), "tset2").select("tset", "service", "id", "shared")
+    lowest = _first(few.join(kinds, "tset"), ["kind", "service"], k + 1, "id")
+    per_kind = between.where("shared > 0").join(lowest.select(F.col("kind").alias("kind2"), "service", "id"), "kind2")
+    per_kind = _first(_first(per_kind, ["kind", "service"], k + 1, F.desc("shared"), "id"), ["kind"], 3 * k + 3, F.desc("shared"), "id")
+    by_kind = kinds.join(per_kind.select("kind", "service", "id", "shared"), "kind").select("tset", "service", "id", "shared")
+    cand = by_rare.unionByName(by_kind).groupBy("tset", "service", "id").agg(F.max("shared").alias("shared"))
+    capped = _first(cand, ["tset", "service"], k + 1, F.desc("shared"), "id")
+    lead = _first(capped, ["tset"], 2 * k + 2, F.desc("shared"), "id").select(
         "tset", F.col("service").alias("service2"), "id", "shared")
-    every = tagged.select("service", "tset").distinct()
-    other = every.join(lead, "tset").where(
-        (F.col("service") != F.col("service2")) | (F.col("service") == "")).select(
+    other = profiles.join(lead, "tset").where((F.col("service") != F.col("service2")) | (F.col("service") == "")).select(
         "service", "tset", "id", F.lit(1).alias("grp"), "shared")
     pool = same.unionByName(other).withColumnRenamed("id", "related_id")
-    best = Window.partitionBy("service", "tset").orderBy("grp", F.desc("shared"), "related_id")
-    short = pool.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1)
-    mine = tagged.select("id", "service", "tset").join(short, ["service", "tset"]).where(
-        F.col("id") != F.col("related_id"))
-    final = Window.partitionBy("id").orderBy("rn")
-    return mine.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select(
+    short = pool.withColumn("rn", F.row_number().over(Window.partitionBy("service", "tset").orderBy(
+        "grp", F.desc("shared"), "related_id"))).where(F.col("rn") <= k + 1)
+    found = tagged.select("id", "service", "tset").join(short, ["service", "tset"]).where(F.col("id") != F.col("related_id"))
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("rn"))).where(F.col("rank") <= k).select(
         "id", "related_id", F.col("rank").cast("bigint").alias("rank"))
 
 

@@ -4,8 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgauge import fixed_values as fixed
-from tollgauge.functions.numbers import to_bool
+from tollgauge import schemas
+from tollgauge.functions.numbers import to_bool, to_number
 from tollgauge.functions.text import has_any
+from tollgauge.operators.archive import link_first, link_last
 from tollgauge.operators.ranks import first_per
 from tollgauge.operators.shapes import document, json_shape, judge_shape, kind_of, shape_text
 
@@ -58,8 +60,9 @@ def link_capture_last(calls: DataFrame, captures: DataFrame) -> DataFrame:
         F.col("_r.tx").alias("raw_tx"))
 
 
-def delivery_receipts(conformance: DataFrame, captures: DataFrame, ts: str) -> DataFrame:
-    """One receipt per judged call. Input rows carry a ``shape`` (types only)."""
+def delivery_receipts(conformance: DataFrame, pointers: DataFrame, ts: str) -> DataFrame:
+    """One receipt per judged call. Input rows carry a ``shape`` (types only); ``pointers`` is the
+    table of ``archive.capture_pointers``."""
     rows = conformance.where("url IS NOT NULL").select(
         "url", "host", F.col("quoted").cast("string").alias("quoted"),
         F.col("charged").cast("string").alias("charged"),
@@ -68,7 +71,7 @@ def delivery_receipts(conformance: DataFrame, captures: DataFrame, ts: str) -> D
         F.nullif(F.col("tx"), F.lit("")).alias("tx"), F.col("ms").cast("bigint").alias("latency_ms"),
         "promised", "shape", shape_text(F.col("shape")).alias("observed"), "missing", "extra",
         "status", F.coalesce("why", F.lit("")).alias("why"))
-    linked = link_capture_first(rows, captures)
+    linked = link_first(rows, pointers)
     reverified = F.col("why") == fixed.WHY_CONFIRMED
     two_call = reverified | F.col("why").contains("re-verify")
     return linked.select(
@@ -78,7 +81,7 @@ def delivery_receipts(conformance: DataFrame, captures: DataFrame, ts: str) -> D
         _sorted("missing").alias("missing"), _sorted("extra").alias("extra"), "status", "why",
         reverified.alias("reverified"),
         F.when(two_call, "two-call reconcile").otherwise("single call").alias("decided_by"),
-        "raw_file", "raw_line")
+        "raw_file", "raw_id")
 
 
 def accuracy_status(returned: Column, dev: Column, tol: Column) -> Column:
@@ -86,9 +89,10 @@ def accuracy_status(returned: Column, dev: Column, tol: Column) -> Column:
             .when(F.coalesce(F.abs(dev) <= tol, F.lit(False)), "accurate").otherwise("off"))
 
 
-def accuracy_receipts(graded: DataFrame) -> DataFrame:
+def accuracy_receipts(graded: DataFrame, pointers: DataFrame | None = None) -> DataFrame:
     """Receipts of graded numbers. Input: (url, host, quoted, paid, metric, returned, truth,
-    truth_source, dev_value, tol_value, unit, field, ts, note)."""
+    truth_source, dev_value, tol_value, unit, field, ts, note). With ``pointers`` each carries the response of
+    its URL that was archived last, and the payment made for it."""
     status = accuracy_status(F.col("returned"), F.col("dev_value"), F.col("tol_value"))
     why = (F.when(status == "inconclusive", F.coalesce("note", F.lit("no value returned to grade")))
            .when(status == "accurate", "within tolerance of the primary source")
@@ -97,8 +101,74 @@ def accuracy_receipts(graded: DataFrame) -> DataFrame:
         *[F.col(c).cast("string").alias(c) for c in ("quoted",)],
         "url", "host", "paid", "metric", "returned", "truth", "truth_source", "dev_value",
         "tol_value", "unit", "field", "ts", status.alias("status"), why.alias("why"))
-    return rows.select(content_id(accuracy_evidence()).alias("receipt_id"),
-                       F.lit("accuracy").alias("kind"), "*")
+    made = rows.select(content_id(accuracy_evidence()).alias("receipt_id"), F.lit("accuracy").alias("kind"), "*")
+    if pointers is None:
+        return made
+    paid = F.coalesce(to_bool(F.col("paid").cast("string")), F.lit(False))
+    return link_last(made, pointers).withColumns({
+        "charged": F.when(paid, F.col("quoted")).otherwise("0"), "free": ~paid, "tx": F.col("raw_tx"),
+        "reverified": F.lit(False), "decided_by": F.lit("single call")}).drop("raw_tx")
+
+
+def as_ledger(receipts: DataFrame) -> DataFrame:
+    """Receipts of any kind in the columns of one ledger; what a kind does not state is null."""
+    kinds = {name: kind for name, kind in (c.strip().split(" ", 1) for c in schemas.LEDGER_COLUMNS)}
+    have = set(receipts.columns)
+    return receipts.select(*[(F.col(name) if name in have else F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()])
+
+
+def _number(column: str) -> Column:
+    return to_number(F.col(column).cast("string"))
+
+
+def _paid(rows: DataFrame, otherwise: bool) -> Column:
+    if "paid" not in rows.columns:
+        return F.lit(otherwise)
+    return F.when(F.col("paid").isNull(), otherwise).otherwise(to_bool(F.col("paid").cast("string")))
+
+
+def from_price(rows: DataFrame) -> DataFrame:
+    """Rows of the price comparison in the form receipts are made from. Input: the rows' own (host, url, quoted, paid, price, dev_bps,
+    field) beside the run's (symbol, reference_end, reference_sources, generated)."""
+    sources = F.coalesce(F.nullif(F.array_join("reference_sources", "/"), F.lit("")), F.lit(fixed.TRUTH_EXCHANGES))
+    return _claims(rows, F.concat(F.coalesce("symbol", F.lit("spot")), F.lit(" price")), _number("price"), F.col("reference_end"),
+                   F.concat(F.lit("median of "), sources), _number("dev_bps"), F.lit(50.0), F.lit("bps"), F.col("field"), _paid(rows, False))
+
+
+def from_balance(rows: DataFrame) -> DataFrame:
+    """Rows of the balance comparison: (host, url, quoted, paid, usdc, dev) beside the run's (target, chain_usdc_end, generated)."""
+    target = F.coalesce("target", F.lit(""))
+    shown = F.when(F.length(target) > 12, F.concat(F.left(target, F.lit(6)), F.lit("…"), F.right(target, F.lit(4)))).otherwise(target)
+    return _claims(rows, F.concat(F.lit("USDC balance of "), shown, F.lit(" on Base")), _number("usdc"), F.col("chain_usdc_end"),
+                   F.lit(fixed.TRUTH_CHAIN), _number("dev"), F.lit(0.01), F.lit("USDC"), F.lit(".usdc"), _paid(rows, True))
+
+
+def from_stock(rows: DataFrame) -> DataFrame:
+    """Rows of the stock comparison: (host, url, quoted, paid, price, dev_bps, field) beside the run's (symbol, reference, generated)."""
+    return _claims(rows, F.concat(F.coalesce("symbol", F.lit("stock")), F.lit(" real-time stock price")), _number("price"),
+                   F.col("reference"), F.lit(fixed.TRUTH_STOCK), _number("dev_bps"), F.lit(50.0), F.lit("bps"), F.col("field"), _paid(rows, True))
+
+
+def from_lab(rows: DataFrame) -> DataFrame:
+    """Rows of the daily comparison: (host, url, quoted, paid, value, dev, field) beside their category's (category, metric,
+    source, reference, tol, unit) and the run's generated."""
+    return _claims(rows, F.coalesce("metric", "category"), _number("value"), F.col("reference"), F.coalesce("source", F.lit("")),
+                   _number("dev"), F.coalesce("tol", F.lit(100.0)), F.coalesce("unit", F.lit("")), F.col("field"), _paid(rows, True))
+
+
+def _claims(rows, metric, returned, truth, source, dev, tol, unit, field, paid) -> DataFrame:
+    return rows.where("url IS NOT NULL").select(
+        "url", "host", "quoted", paid.alias("paid"), metric.alias("metric"), returned.alias("returned"),
+        truth.cast("double").alias("truth"), source.alias("truth_source"), dev.alias("dev_value"), tol.cast("double").alias("tol_value"),
+        unit.alias("unit"), field.alias("field"), F.substring(F.coalesce("generated", F.lit("")), 1, 10).alias("ts"))
+
+
+ADAPTERS = {"price": from_price, "balance": from_balance, "stock": from_stock, "lab": from_lab}
+
+
+def receipts_of_source(rows: DataFrame, kind: str, pointers: DataFrame | None = None) -> DataFrame:
+    """Accuracy receipts from a source's rows in their own form."""
+    return receipts_from(ADAPTERS[kind](rows), kind, pointers)
 
 
 def guard_field(rows: DataFrame, value: str = "returned") -> DataFrame:
@@ -112,34 +182,29 @@ def guard_field(rows: DataFrame, value: str = "returned") -> DataFrame:
         F.when(bad, F.format_string(fixed.WHY_NON_PRICE, F.col("field"))).otherwise(note).alias("note"))
 
 
-def receipts_from(rows: DataFrame, kind: str) -> DataFrame:
+def receipts_from(rows: DataFrame, kind: str, pointers: DataFrame | None = None) -> DataFrame:
     """Accuracy receipts from one source of graded rows: ``price`` guards against non-price
     fields, ``balance`` and ``stock`` keep rows without a value as inconclusive, and the daily
     feed (``lab``) leaves them out."""
     if kind == "price":
-        return accuracy_receipts(guard_field(rows))
+        return accuracy_receipts(guard_field(rows), pointers)
     with_note = rows if "note" in rows.columns else rows.withColumn("note", F.lit(None).cast("string"))
     if kind == "lab":
         with_note = with_note.where("returned IS NOT NULL")
-    return accuracy_receipts(with_note)
+    return accuracy_receipts(with_note, pointers)
 
 
 def verify_delivery(ledger: DataFrame, captures: DataFrame) -> DataFrame:
     """Re-derive delivery receipts at three levels; null means not checkable here.
 
     Integrity rehashes the evidence. The verdict is re-judged from the stored shape, except
-    where a second call settled it. Raw re-derives the shape from the archived response of
-    the same file, URL and transaction, which stays valid when files are split differently.
+    where a second call settled it. Raw re-derives the shape from the archived response that the receipt points
+    to, wherever it stands now. Input captures: (capture_id, payload).
     """
     rows = judge_shape(ledger, "shape", "promised", prefix="re_")
     readable = captures.where(F.coalesce(kind_of(document(captures, "payload")) != "null", F.lit(False)))
-    first = first_per(readable.select("file", "url", "tx", "line", "payload"),
-                      ["file", "url", "tx"], F.col("line")).select(
-        F.col("file").alias("_f"), F.col("url").alias("_u"), F.col("tx").alias("_t"),
-        F.col("payload").alias("_payload"))
-    same = ((F.col("raw_file") == F.col("_f")) & (F.col("url") == F.col("_u"))
-            & F.col("tx").eqNullSafe(F.col("_t")))
-    linked = json_shape(rows.join(first, same, "left"), "_payload", out="_raw_shape").withColumn(
+    one = readable.groupBy(F.col("capture_id").alias("_c")).agg(F.min("payload").alias("_payload"))
+    linked = json_shape(rows.join(one, F.col("raw_id") == F.col("_c"), "left"), "_payload", out="_raw_shape").withColumn(
         "raw_observed", shape_text(F.col("_raw_shape")))
     settled = F.col("why").contains("re-verify")
     return linked.select(

@@ -9,7 +9,7 @@ from tollgauge import fixed_values as fixed
 from tollgauge.functions.chain import chain_name
 from tollgauge.functions.text import first_pattern, first_words, has_any, trim_to
 from tollgauge.functions.urls import host_of, last_path_word
-from tollgauge.operators.ranks import first_per, quantiles_and_median, take_by_hash, true_median
+from tollgauge.operators.ranks import first_per, quantiles_and_median, running_total, take_by_hash, true_median
 
 
 def with_host(listings: DataFrame, variant: str = "hostname") -> DataFrame:
@@ -190,16 +190,15 @@ def within_budget(candidates: DataFrame, budget: float) -> DataFrame:
     """Cheapest-first candidates whose running cost stays inside the budget; equal prices are
     taken in the order of a hash of the URL.
 
-    A running sum over rows would need one task. Here rows are counted per price, the ordered
-    window sees only distinct prices (whole micro-dollars up to the price ceiling), and the
-    single price level that is cut is cut through counts per hash prefix.
+    Rows are counted per price, what the prices cost is summed over ranges of prices, and the
+    single price level that is cut is cut through counts per hash prefix, so no task sees all prices.
     """
     money = F.col("price").cast("decimal(28,8)")
     priced = candidates.withColumn("_p", money)
     levels = priced.where(F.col("_p") <= budget).groupBy("_p").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(F.col("_p") * F.col("_n")).over(before), F.lit(0))
-    left = F.lit(budget).cast("decimal(28,8)") - spent
+    costs = levels.withColumn("_cost", (F.col("_p") * F.col("_n")).cast("decimal(38,8)"))
+    levels = running_total(costs, "_cost", ["_p"], "_upto")
+    left = F.lit(budget).cast("decimal(28,8)") - (F.col("_upto") - F.col("_cost"))
     room = F.when(F.col("_p") > 0, F.floor(left / F.col("_p"))).otherwise(F.col("_n"))
     open_levels = levels.select("_p", "_n", room.cast("bigint").alias("_room")).where("_room > 0")
     whole = priced.join(open_levels.where("_room >= _n").select("_p"), "_p", "left_semi")

@@ -262,7 +262,7 @@ def split_envelope(df: DataFrame, col: str = "stdout") -> DataFrame:
     error = (
         F.when(F.trim(F.coalesce(col, F.lit(""))) == "", "no output")
         .when(F.coalesce(kind_of(F.col("_env")) != "object", F.lit(True)),
-              F.when(F.col("_env").isNull(), F.substring(F.trim(col), 1, 200))
+              F.when(F.col("_env").isNull(), F.trim(col))
               .otherwise("unexpected envelope"))
         .when(~ok, F.trim(F.concat(F.coalesce(status, F.lit("")), F.lit(" "), said))))
     paid = F.when(ok, F.try_variant_get("_env", "$.metadata.payment.success", "boolean")).otherwise(

@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("money_queries", "listing_queries", "check_queries", "response_queries",
-           "ledger_queries", "answer_queries", "source_queries")
+           "ledger_queries", "answer_queries", "source_queries", "publish_queries")
 
 
 def all_queries():

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tollgauge import fixed_values as fixed
 from tollgauge.functions.grades import grade_rank
-from tollgauge.operators import board, catalog, checks, ratings, receipts, usage, verdicts
+from tollgauge.operators import accuracy, board, catalog, ratings, receipts, usage, verdicts
 from tollgauge.operators.ranks import first_per  # noqa: F401
 from tollgauge.plans.check_queries import mart
 from tollgauge.plans.inputs import Tables
 from tollgauge.plans.ledger_queries import delivery, graded, graded_claims
+from tollgauge.plans.marts import stored
 from tollgauge.plans.money_queries import board_of, grade_text
 from tollgauge.plans.oracle_parts import any_of, quoted
 from tollgauge.plans.registry import query
@@ -76,14 +77,18 @@ def ledger(t: Tables):
 
 def inputs(t: Tables):
     texts = t("origins").select(F.lower("origin").alias("host"), "text")
-    return verdicts.preflight_inputs(
-        checks.probe_flags(t("checks"), t.origins()), ledger(t), board_of(t, 30), texts)
+    return verdicts.preflight_inputs(mart(t), ledger(t), board_of(t, 30), texts)
 
 
-def lights(t: Tables):
+def fresh_lights(t: Tables):
     return verdicts.verdict(inputs(t))
 
 
+def lights(t: Tables):
+    """Pre-payment verdicts as they are stored."""
+    return stored(t, "preflight", lambda: fresh_lights(t))
+
+
 _RF = """
     with led as (
         select host, 'delivery' as kind, status, len(want) as nf, case when missing = '' then 0 else len(string_split(missing, '|')) end as nm from settled
@@ -133,7 +138,7 @@ _LIGHT = _IN + f""",
 def _(t):
     hard = (fixed.REASON_PAYTO, fixed.REASON_PHANTOM, fixed.REASON_PRICE)
     told = F.filter("reasons", lambda r: r["text"].isin(*hard) | r["text"].startswith("Paid in full"))
-    return lights(t).select(
+    return fresh_lights(t).select(
         "host", "light", "score", "checked_live", "receipts", "disputes", "delivered", "accurate", "free_label",
         F.array_join(F.transform("reasons", lambda r: r["level"]), "|").alias("levels"),
         F.array_join(F.transform(told, lambda r: r["text"]), "|").alias("first_texts"))
@@ -213,11 +218,16 @@ def endpoints(t: Tables):
     return rows
 
 
-def market(t: Tables):
+def fresh_market(t: Tables):
     done = delivery(t).where("status in ('delivered', 'short')").select("url", "status", "observed")
     return catalog.catalog(endpoints(t), mart(t), done, t.posts())
 
 
+def market(t: Tables):
+    """The catalogue as it is stored."""
+    return stored(t, "catalog", lambda: fresh_market(t))
+
+
 _CAT = """
     with cat as (select o.origin as host, 'https://' || o.origin || '/v1/report' as url, o.text || ' no ' || o.origin as descr, (o.calls30d + 1) * 10 / 1e6 as price_usdc,
         p.reliability, p.price_ok as price_honest, p.payto_ok as payto_honest, case when s.status = 'delivered' then true when s.status = 'short' then false end as delivered_as_promised, g.grades
@@ -227,7 +237,7 @@ _CN = "origins probe_mart settled graded_grades"
 
 @query("catalog", _CN, _CAT + "select host, url, descr, price_usdc, reliability, price_honest, payto_honest, delivered_as_promised, grades from cat")
 def _(t):
-    return catalog.catalog_order(market(t)).select(
+    return catalog.catalog_order(fresh_market(t)).select(
         "host", "url", "descr", "price_usdc", "reliability", "price_honest", "payto_honest", "delivered_as_promised",
         F.when(F.col("grades").isNotNull(), grade_text()).alias("grades"))
 
@@ -251,13 +261,18 @@ _SI = _CAT + """,
 _SN = _CN + " posts notes board30"
 
 
-def index(t: Tables):
+def fresh_index(t: Tables):
     return catalog.search_index(market(t), board_of(t, 30), t.posts(), t.notes())
 
 
+def index(t: Tables):
+    """The search index as it is stored."""
+    return stored(t, "search_index", lambda: fresh_index(t))
+
+
 @query("search_index", _SN, _SI + "select item_type, label, url, status, grade, price, descr, keywords from si")
 def _(t):
-    return index(t).select("item_type", "label", "url", "status", "grade", "price", "descr", "keywords")
+    return fresh_index(t).select("item_type", "label", "url", "status", "grade", "price", "descr", "keywords")
 
 
 @query("add_missing_graded", _SN, _SI + """
@@ -289,16 +304,18 @@ def _(t):
 
 
 @query("find_api", _CN + " graded", _CAT + """,
-      acc as (select host, arg_min(dev, (category, abs(dev))) as off_by from graded where value is not null and abs(dev) <= 500 group by host),
+      acc as (select host, arg_min(dev, (category, abs(dev))) as off_by, min(category) || ' price' as vs from graded where value is not null and abs(dev) <= 500 group by host),
       s as (select *, contains(lower(descr), 'weather')::int + contains(lower(descr), 'forecast')::int + case when contains(lower(descr), 'weather forecast') then 2 else 0 end as hits from cat where price_usdc <= 0.006 and reliability >= 70)
-    select s.host, url, price_usdc, reliability, off_by, (hits + case when acc.host is not null then 1000 else 0 end)::bigint as score from s left join acc using (host) where hits > 0
+    select s.host, url, descr, price_usdc, 'GET' as method, 'Base' as chains, reliability, price_honest, payto_honest, coalesce(grades, '') as grades, off_by,
+      case when acc.host is not null then 'bps' end as unit, vs, (hits + case when acc.host is not null then 1000 else 0 end)::bigint as score from s left join acc using (host) where hits > 0
     order by score desc, reliability desc, price_usdc, s.host limit 8""")
 def _(t):
     from tollgauge.operators.accuracy import graded_rows
     good = graded_rows(graded(t)).where("verdict = 'accurate'").select(
-        "host", "category", F.col("dev").alias("off_by"), "unit")
+        "host", "category", F.col("dev").alias("off_by"), "unit", F.concat("category", F.lit(" price")).alias("metric"))
     return catalog.find_api(market(t), good, "weather forecast", 0.006, 70, 8).select(
-        "host", "url", "price_usdc", "reliability", "off_by", "score")
+        "host", "url", "descr", "price_usdc", "method", "chains", "reliability", "price_honest", "payto_honest",
+        F.coalesce(grade_text(), F.lit("")).alias("grades"), "off_by", "unit", F.col("graded_accurate.vs").alias("vs"), "score")
 
 
 # ---- usage ----------------------------------------------------------------------------------
@@ -368,7 +385,7 @@ def _(t):
         F.col("user_id").cast("string").alias("payer"), F.floor(F.col("value") * 100).alias("units"),
         F.col("event_id").alias("block"))
     streams.stream_tape(rows, path, checkpoint)
-    changes = t.spark.read.parquet(path)
+    changes = streams.read_changes(t.spark, path)
     return streams.tape_from_pairs(streams.fold_changes(changes, ["date", "payee", "payer"]))
 
 
@@ -377,7 +394,7 @@ def _(t):
     path, checkpoint = _work(t, "first")
     rows = event_stream(t).select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), "ts")
     streams.stream_first_seen(rows, path, checkpoint)
-    seen = streams.fold_changes(t.spark.read.parquet(path), ["url"])
+    seen = streams.fold_changes(streams.read_changes(t.spark, path), ["url"])
     return seen.select("url", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_ts"))
 
 
@@ -387,4 +404,4 @@ def _(t):
     path, checkpoint = _work(t, "usage")
     rows = event_stream(t).select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("tool"))
     streams.stream_usage(rows, path, checkpoint)
-    return streams.fold_changes(t.spark.read.parquet(path), ["start", "tool"])
+    return streams.fold_changes(streams.read_changes(t.spark, path), ["start", "tool"])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tollgauge import fixed_values as fixed
 from tollgauge.operators import checks, ranks
 from tollgauge.plans.inputs import AS_OF, Tables
+from tollgauge.plans.marts import stored
 from tollgauge.plans.registry import query
 
 
@@ -132,16 +133,21 @@ def _(t):
         "origin", "tier", "settled_usd30d", "calls30d", "score", "tier_order")
 
 
-def mart(t: Tables):
+def fresh_mart(t: Tables):
     return checks.probe_mart(t("checks"), t.origins())
 
 
+def mart(t: Tables):
+    """The probe mart as it is stored."""
+    return stored(t, "probe_mart", lambda: fresh_mart(t))
+
+
 @query("probe_mart", "probe_mart check_live", """
     select m.host, breadth, checked, returns_402, priceable, price_ok, payto_ok, phantom, median_ms, reliability,
       coalesce((select string_agg(url, '|' order by url) from (select url from check_live c where c.origin = m.host and price_bad order by url limit 5)), '') as mismatches
     from probe_mart m""")
 def _(t):
-    return mart(t).select(
+    return fresh_mart(t).select(
         "host", "breadth", "checked", "returns_402", "priceable", "price_ok", "payto_ok", "phantom",
         "median_ms", "reliability",
         F.coalesce(F.array_join(F.transform("mismatches", lambda m: m["url"]), "|"), F.lit("")).alias("mismatches"))

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from tollgauge import fixed_values as fixed
-from tollgauge.operators import accuracy, receipts, shapes
+from tollgauge.operators import accuracy, archive, receipts, shapes
 from tollgauge.operators.shapes import json_nodes, numeric_candidates
 from tollgauge.plans.inputs import Tables
+from tollgauge.plans.marts import stored
 from tollgauge.plans.oracle_parts import quoted
 from tollgauge.plans.registry import query
 from tollgauge.plans.response_queries import rows as conformance_of
@@ -22,13 +23,18 @@ def config(t: Tables):
         F.lit("bps").alias("unit"), F.lit(1.0).alias("lo"), F.lit(1e6).alias("hi"))
 
 
-def graded(t: Tables):
+def fresh_graded(t: Tables):
     return accuracy.grade(t("quotes").select("category", "host", "url", "quoted", "ref", "payload"), config(t))
 
 
+def graded(t: Tables):
+    """Graded numbers as they are stored, without the responses they came from."""
+    return stored(t, "graded", lambda: fresh_graded(t).drop("payload"))
+
+
 @query("grade_values", "graded", "select url, category, value, field, dev from graded")
 def _(t):
-    return graded(t).select("url", "category", "value", "field", "dev")
+    return fresh_graded(t).select("url", "category", "value", "field", "dev")
 
 
 @query("reference_value", "quotes", "select category, median(ref) as ref from quotes group by category")
@@ -116,11 +122,21 @@ def _(t):
 
 # ---- delivery receipts --------------------------------------------------------------------
 def captures(t: Tables):
-    return t("captures")
+    content = F.concat_ws("|", "url", "stdout")
+    return t("captures").withColumn("capture_id", F.sha2(content, 256))
+
+
+def pointers(t: Tables):
+    return archive.capture_pointers(captures(t), "line")
+
+
+def fresh_delivery(t: Tables):
+    return receipts.delivery_receipts(settled(t), pointers(t), TS)
 
 
 def delivery(t: Tables):
-    return receipts.delivery_receipts(settled(t), captures(t), TS)
+    """Delivery receipts as they are stored."""
+    return stored(t, "delivery_receipts", lambda: fresh_delivery(t))
 
 
 @query("link_capture_first", "calls", """
@@ -136,12 +152,77 @@ def _(t):
     return receipts.link_capture_last(t("calls").select("url"), captures(t)).select("url", "raw_file", "raw_tx")
 
 
+_POINTED = """
+    with c as (select url, file, line, tx, sha256(url || '|' || stdout) as capture_id from captures)"""
+
+
+@query("capture_pointers", "captures", _POINTED + """
+    select capture_id, url, min(file) as first_file, max(file) as last_file, count(distinct tx) as payments from c group by capture_id, url""")
+def _(t):
+    found = pointers(t).select("capture_id", "url", F.col("first.file").alias("first_file"), F.col("last.file").alias("last_file"),
+                               F.col("tx").isNotNull().cast("bigint").alias("payments"))
+    return found
+
+
+def of_source(t: Tables, kind: str):
+    """Every call as a row of one kind of comparison, in the form that comparison lands its rows in."""
+    run = t("calls").select(
+        "url", "host", "quoted", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey") % 4 == 1).alias("paid"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("$"), F.col("o_custkey").cast("string"), F.lit(".25"))).alias("n"),
+        (F.col("o_orderkey") % 201 - 100).cast("string").alias("d"),
+        F.when(F.col("o_orderkey") % 7 == 0, ".data.volume24h").otherwise(".price").alias("field"),
+        F.concat("day", F.lit("T06:00:00Z")).alias("generated"), F.lit(40000.5).alias("ref"))
+    if kind == "price":
+        named = F.when(F.col("url").contains("1"), F.array(F.lit("alpha"), F.lit("beta"))).otherwise(F.array().cast("array<string>"))
+        return run.withColumnsRenamed({"n": "price", "d": "dev_bps", "ref": "reference_end"}).withColumns({
+            "symbol": F.lit("BTC"), "reference_sources": named})
+    if kind == "balance":
+        return run.withColumnsRenamed({"n": "usdc", "ref": "chain_usdc_end"}).withColumns({
+            "dev": F.col("d").cast("double") / 1000, "target": F.lit("0x1234567890abcdef")})
+    if kind == "stock":
+        return run.withColumnsRenamed({"n": "price", "d": "dev_bps", "ref": "reference"}).withColumn("symbol", F.lit("AAPL"))
+    return run.withColumnsRenamed({"n": "value", "d": "dev", "ref": "reference"}).withColumns({
+        "category": F.lit("weather"), "metric": F.when(F.col("paid"), "temperature"), "source": F.lit("a model"),
+        "tol": F.when(F.col("paid"), 5.0), "unit": F.lit("F")})
+
+
+@query("receipt_pointers", "captures calls", _POINTED + """,
+      d as (select url, arg_min(capture_id, (file, line)) as first_id, min(file) as first_file, arg_max(capture_id, (file, line)) as last_id, max(file) as last_file from c group by url)
+    select 'delivery' as kind, k.url, first_id as raw_id, first_file as raw_file, k.paid_tx as tx from calls k join d using (url)
+    union all select 'accuracy', k.url, last_id, last_file, k.paid_tx from calls k join d using (url)""")
+def _(t):
+    both = receipts.as_ledger(delivery(t)).unionByName(receipts.as_ledger(
+        receipts.receipts_of_source(of_source(t, "stock"), "stock", pointers(t))))
+    return both.select("kind", "url", "raw_id", "raw_file", "tx")
+
+
+@query("receipts_of_sources", "calls", """
+    with r as (select url, o_orderkey as k, day as ts, o_orderkey % 4 = 1 as said, o_orderkey % 4 = 0 as unsaid, case when o_orderkey % 5 <> 0 then o_custkey + 0.25::double end as v,
+        (o_orderkey % 201 - 100)::double as d, o_orderkey % 7 = 0 as bad from calls),
+      s as (
+        select url, 'BTC price' as metric, case when contains(url, '1') then 'median of alpha/beta' else 'median of primary exchanges' end as truth_source, said and not unsaid as paid,
+          case when not bad then v end as returned, case when not bad then d end as dev, 50.0::double as tol, 'bps' as unit, ts,
+          case when bad then 'could not isolate a spot-price field; the closest match in the response was .data.volume24h, which is not a price' else 'no value returned to grade' end as note from r
+        union all select url, 'USDC balance of 0x1234…cdef on Base', 'Base chain balanceOf (latest block)', said or unsaid, v, d / 1000, 0.01, 'USDC', ts, 'no value returned to grade' from r
+        union all select url, 'AAPL real-time stock price', 'FMP real-time quote', said or unsaid, v, d, 50.0, 'bps', ts, 'no value returned to grade' from r
+        union all select url, case when said then 'temperature' else 'weather' end, 'a model', said or unsaid, v, d, case when said then 5.0 else 100.0 end, 'F', ts, '' from r where v is not null)
+    select url, metric, truth_source, paid, returned, tol as tol_value, unit, ts, case when returned is null then 'inconclusive' when abs(dev) <= tol then 'accurate' else 'off' end as status,
+      case when returned is null then note when abs(dev) <= tol then 'within tolerance of the primary source' else 'outside tolerance of the primary source' end as why from s""")
+def _(t):
+    out = None
+    for kind in receipts.ADAPTERS:
+        made = receipts.receipts_of_source(of_source(t, kind), kind).select(
+            "url", "metric", "truth_source", "paid", "returned", "tol_value", "unit", "ts", "status", "why")
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
 @query("delivery_receipts", "settled", f"""
     select url, status, why, missing, extra, why = '{fixed.WHY_CONFIRMED}' as reverified,
       case when why = '{fixed.WHY_CONFIRMED}' or contains(why, 're-verify') then 'two-call reconcile' else 'single call' end as decided_by,
       'raw_' || day || '.jsonl' as raw_file from settled""")
 def _(t):
-    return delivery(t).select("url", "status", "why", "missing", "extra", "reverified", "decided_by", "raw_file")
+    return fresh_delivery(t).select("url", "status", "why", "missing", "extra", "reverified", "decided_by", "raw_file")
 
 
 _KIND = "case type when 'OBJECT' then 'object' when 'ARRAY' then 'array' when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'NULL' then 'null' when 'DOUBLE' then 'number' else 'integer' end"
@@ -191,9 +272,9 @@ def _(t):
 
 def ledger_pair(t: Tables):
     """A ledger of first verdicts, and the receipts of the re-verified short calls."""
-    before = receipts.delivery_receipts(conformance_of(t), captures(t), TS)
+    before = receipts.delivery_receipts(conformance_of(t), pointers(t), TS)
     late = settled(t).where(F.col("why").isin(fixed.WHY_CLEARED, fixed.WHY_CONFIRMED, fixed.WHY_UNCONFIRMED))
-    return before, receipts.delivery_receipts(late, captures(t), TS)
+    return before, receipts.delivery_receipts(late, pointers(t), TS)
 
 
 @query("supersede", "settled", "select url, status, why from settled")

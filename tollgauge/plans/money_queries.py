@@ -1,7 +1,5 @@
 """Registered queries: transfers, tapes, buyers and the board."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tollgauge import fixed_values as fixed
@@ -10,9 +8,9 @@ from tollgauge.functions.demand import demand_label, directory_demand, organic_s
 from tollgauge.functions.numbers import clamp01
 from tollgauge.operators import board, changes, flows, graph, ranks, ratings, registry, sellers
 from tollgauge.plans.inputs import Tables
+from tollgauge.plans.marts import stored
 from tollgauge.plans.oracle_parts import BURN_LIST, demand_case, score_columns
 from tollgauge.plans.registry import query
-from tollgauge.sources.storage import shared_folder, write_partition
 
 
 def inflow(t: Tables):
@@ -24,11 +22,8 @@ def tape(t: Tables):
 
 
 def stored_tape(t: Tables):
-    """The tape written once by date, as the board's windows read it: they ask it twice, for its
-    newest dates and for the rows of these."""
-    path, rows = f"{shared_folder(t.spark)}/tape-{uuid.uuid4().hex}", tape(t)
-    write_partition(rows, path)
-    return t.spark.read.schema(rows.schema).parquet(path)
+    """The tape by date, as the board's windows read it: they ask it twice, for its newest dates and for the rows of these."""
+    return stored(t, "tape", lambda: tape(t), ("date",))
 
 
 def second_chain_tape(t: Tables):
@@ -44,14 +39,23 @@ def wallet_keys(t: Tables):
     return t("supplier").selectExpr(f"{seller('s_suppkey')} as address", "s_suppkey as k")
 
 
-def board_of(t: Tables, n: int = 30):
+def fresh_board(t: Tables, n: int = 30):
     return board.board_rows(board.window_rollup(stored_tape(t), n), t.services())
 
 
-def folded_board(t: Tables, n: int = 7):
+def board_of(t: Tables, n: int = 30):
+    """The board as its mart has it."""
+    return stored(t, f"board{n}", lambda: fresh_board(t, n))
+
+
+def fresh_fold(t: Tables, n: int = 7):
     return board.fold_chain(board_of(t, n), board.host_rollup(second_chain_tape(t), n))
 
 
+def folded_board(t: Tables, n: int = 7):
+    return stored(t, f"folded_board{n}", lambda: fresh_fold(t, n))
+
+
 # ---- transfers --------------------------------------------------------------------------
 @query("decode_logs", "transfers", """
     select date, payer, payee, units, block, seq from transfers where chain = 'base'""")
@@ -331,7 +335,7 @@ def _(t):
 
 @query("board_rows", "board7", "select * from board7")
 def _(t):
-    return board_of(t, 7)
+    return fresh_board(t, 7)
 
 
 @query("organic_score", "tape", f"""
@@ -399,7 +403,7 @@ _FOLD_COLS = ("address", "service", "host", "demand", "usdc", "usdc_out", "kept"
 
 @query("fold_chain", "board7 sol_hosts", _FOLD + "select * from folded")
 def _(t):
-    return folded_board(t).select(*_FOLD_COLS)
+    return fresh_fold(t).select(*_FOLD_COLS)
 
 
 @query("market_totals", "board7 sol_hosts", _FOLD + """
@@ -430,7 +434,7 @@ def _(t):
       (select min(date) from tape) as tape_from, (select max(date) from tape) as tape_to from folded""")
 def _(t):
     from tollgauge.operators import catalog
-    return catalog.market_summary(board.market_totals(folded_board(t)), tape(t))
+    return catalog.market_summary(board.market_totals(folded_board(t)), stored_tape(t))
 
 
 @query("top_services_by_revenue", "board7 sol_hosts", _FOLD + """
@@ -542,6 +546,24 @@ def _(t):
     return graph.service_components(t.services())
 
 
+@query("extend_components", "services", _COMP + "select origin, component from comp")
+def _(t):
+    """Half of the services first, then the edges of the others on top of their components."""
+    services = t.services()
+    half = F.crc32("origin") % 2 == 0
+    before = graph.components(graph.service_edges(services.where(half)))
+    after = graph.extend_components(before, graph.service_edges(services.where(~half)))
+    return graph.services_of(after)
+
+
+@query("component_flags", "services", _COMP + """,
+      f as (select distinct component, unnest(list_filter([case when grade is null then 'ungraded' end, case when service is null then 'unnamed' end,
+        case when len(list_filter(string_split(wallets, ','), lambda w: w <> '')) > 1 then 'several wallets' end], lambda x: x is not null)) as flag from services join comp using (origin))
+    select component, flag from f""")
+def _(t):
+    return graph.component_flags(service_members(t))
+
+
 def service_members(t: Tables):
     comp = graph.service_components(t.services())
     settled = flows.service_rollup(flows.service_wallets(t.services(), board_tape(t)))

@@ -39,3 +39,11 @@ TOKEN_BALANCES = """
     pre array<struct<accountIndex:int,mint:string,owner:string,uiAmount:double>>,
     post array<struct<accountIndex:int,mint:string,owner:string,uiAmount:double>>,
     block_time bigint, failed boolean"""
+
+#: the columns of one ledger for receipts of all kinds
+LEDGER_COLUMNS = (
+    "receipt_id string", "kind string", "ts string", "metric string", "url string", "host string", "quoted string",
+    "charged string", "paid boolean", "free boolean", "tx string", "latency_ms bigint", "promised array<string>",
+    "shape array<struct<path:string,type:string>>", "observed array<string>", "missing array<string>", "extra array<string>",
+    "returned double", "truth double", "truth_source string", "dev_value double", "tol_value double", "unit string",
+    "field string", "status string", "why string", "reverified boolean", "decided_by string", "raw_file string", "raw_id string")

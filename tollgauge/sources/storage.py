@@ -61,6 +61,36 @@ def current_version(spark: SparkSession, path: str) -> str:
     return f"{path}/v={found[-1]}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file of the library's own; nothing happens if it is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Remove the files of a checkpointed table that nothing reads any more."""
+    kept = df._jdf.logicalPlan().rdd().getCheckpointFile()
+    if kept.isDefined():
+        delete(df.sparkSession, kept.get())
+
+
+def write_named(df: DataFrame, folder: str, name: str, form: str = "json") -> None:
+    """One file for each value of the column ``name``, called by it, as a client would land them."""
+    spark = df.sparkSession
+    jvm, parts = spark.sparkContext._jvm, f"{folder}/_parts"
+    df.repartition(name).write.mode("overwrite").partitionBy(name).format(form).save(parts)
+    top = jvm.org.apache.hadoop.fs.Path(parts)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in fs.listStatus(top):
+        called = part.getPath().getName()
+        if called.startswith(f"{name}="):
+            files = [f.getPath() for f in fs.listStatus(part.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(files) != 1:
+                raise RuntimeError(f"{called} came in {len(files)} files")
+            fs.rename(files[0], jvm.org.apache.hadoop.fs.Path(f"{folder}/{called.removeprefix(f'{name}=')}"))
+    delete(spark, parts)
+
+
 def write_mart(df: DataFrame, path: str, form: str = "parquet") -> None:
     write_version(df, path, form)
 
