@@ -401,3 +401,8 @@ def retarget(fields: Column, replacements: dict[str, Sequence[str]]) -> Column:
             out = F.when(F.lower(key).isin(*names), F.lit(target)).otherwise(out)
         return out
     return F.transform_values(fields, swap)
+
+
+def retarget_place(fields: Column, place: str, latitude: str, longitude: str) -> Column:
+    """Point an input map at a place by whichever of its fields name one; other fields stay as advertised."""
+    return retarget(fields, {place: fixed.PLACE_FIELDS, longitude: fixed.LONGITUDE_FIELDS, latitude: fixed.LATITUDE_FIELDS})

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tollgauge import fixed_values as fixed
 from tollgauge.functions.grades import grade_rank
-from tollgauge.operators import accuracy, board, catalog, ratings, receipts, usage, verdicts
+from tollgauge.operators import accuracy, board, catalog, grams, ratings, receipts, usage, verdicts
 from tollgauge.operators.ranks import first_per  # noqa: F401
 from tollgauge.plans.check_queries import mart
 from tollgauge.plans.inputs import Tables
@@ -191,14 +191,20 @@ def _(t):
         "host", "found", F.when(F.col("grades").isNotNull(), grade_text()).alias("grades"), "usdc_received", "payments")
 
 
-@query("search_services", "posts", f"""
+_SEARCHED = "posts", f"""
     select id, grade from posts where grade is not null and contains(lower(service || ' ' || graded_on || ' ' || title || ' ' || coalesce(call, '')), 'fr')
-      and coalesce(nullif(list_position({GRADES}, grade), 0), 99) <= list_position({GRADES}, 'B-')""")
+      and coalesce(nullif(list_position({GRADES}, grade), 0), 99) <= list_position({GRADES}, 'B-')"""
+
+
+@query("search_services", *_SEARCHED)
 def _(t):
     return catalog.search_services(t.posts(), " FR ", "B-").select("id", "grade")
 
 
-@query("list_traps", "notes", "select note_id from notes where contains(lower(trap), 'thin') or contains(note_id, 'thin')")
+_TRAPS = "notes", "select note_id from notes where contains(lower(trap), 'thin') or contains(note_id, 'thin')"
+
+
+@query("list_traps", *_TRAPS)
 def _(t):
     return catalog.list_traps(t.notes(), "Thin").select("note_id")
 
@@ -292,32 +298,80 @@ def _(t):
     return catalog.missing_from(posts, "url", {"search": index(t), "catalog": in_catalog})
 
 
-@query("search_box", _SN, _SI + """,
+_BOX = _SN, _SI + """,
       q as (select item_type, label, url, status, lower(coalesce(label, '')) as l, coalesce(keywords, '') as kw, lower(coalesce(descr, '')) as d,
           case when lower(label) like 'api1%' then 0 when regexp_matches(lower(label), '(^|[^a-z0-9])api1') then 1 when contains(lower(label), 'api1') then 2 when contains(coalesce(keywords, ''), 'api1') then 3 else 4 end as class,
           list_position(['graded', 'measured', 'post', 'note', 'listed'], status) as ro from si),
       hit as (select * from q where contains(l, 'api1') or contains(kw, 'api1') or contains(d, 'api1'))
     select row_number() over (order by class, ro, length(label), label, url nulls first) as rank, item_type, label, url, status, class::bigint as class, (select count(*) from hit) as total
-    from hit order by class, ro, length(label), label, url nulls first limit 8""")
+    from hit order by class, ro, length(label), label, url nulls first limit 8"""
+
+
+@query("search_box", *_BOX)
 def _(t):
     return catalog.search(index(t), "API1", 8)
 
 
-@query("find_api", _CN + " graded", _CAT + """,
+_FOUND = _CN + " graded", _CAT + """,
       acc as (select host, arg_min(dev, (category, abs(dev))) as off_by, min(category) || ' price' as vs from graded where value is not null and abs(dev) <= 500 group by host),
       s as (select *, contains(lower(descr), 'weather')::int + contains(lower(descr), 'forecast')::int + case when contains(lower(descr), 'weather forecast') then 2 else 0 end as hits from cat where price_usdc <= 0.006 and reliability >= 70)
     select s.host, url, descr, price_usdc, 'GET' as method, 'Base' as chains, reliability, price_honest, payto_honest, coalesce(grades, '') as grades, off_by,
       case when acc.host is not null then 'bps' end as unit, vs, (hits + case when acc.host is not null then 1000 else 0 end)::bigint as score from s left join acc using (host) where hits > 0
-    order by score desc, reliability desc, price_usdc, s.host limit 8""")
+    order by score desc, reliability desc, price_usdc, s.host limit 8"""
+
+
+@query("find_api", *_FOUND)
 def _(t):
-    from tollgauge.operators.accuracy import graded_rows
-    good = graded_rows(graded(t)).where("verdict = 'accurate'").select(
+    return find(t, market(t))
+
+
+def find(t: Tables, rows):
+    good = accuracy.graded_rows(graded(t)).where("verdict = 'accurate'").select(
         "host", "category", F.col("dev").alias("off_by"), "unit", F.concat("category", F.lit(" price")).alias("metric"))
-    return catalog.find_api(market(t), good, "weather forecast", 0.006, 70, 8).select(
+    return catalog.find_api(rows, good, "weather forecast", 0.006, 70, 8).select(
         "host", "url", "descr", "price_usdc", "method", "chains", "reliability", "price_honest", "payto_honest",
         F.coalesce(grade_text(), F.lit("")).alias("grades"), "off_by", "unit", F.col("graded_accurate.vs").alias("vs"), "score")
 
 
+# ---- the same questions through lists of pieces ---------------------------------------------
+def listed(t: Tables, name: str, rows, key: str, text):
+    """The lists of a table's pieces, and their lengths, as they are stored."""
+    lists = stored(t, f"pieces_{name}", lambda: grams.postings(rows(), key, text), ("bucket",))
+    return lists, stored(t, f"piece_counts_{name}", lambda: grams.counts(lists))
+
+
+@query("search_services_by_pieces", *_SEARCHED)
+def _(t):
+    text = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("service", "graded_on", "title", "call")])
+    found = grams.candidates(*listed(t, "posts", t.posts, "id", text), " FR ")
+    return catalog.search_services(grams.narrowed(t.posts(), "id", found), " FR ", "B-").select("id", "grade")
+
+
+@query("list_traps_by_pieces", *_TRAPS)
+def _(t):
+    whole = F.to_json(F.struct(*t.notes().columns))
+    found = grams.candidates(*listed(t, "notes", t.notes, "note_id", whole), "Thin")
+    return catalog.list_traps(grams.narrowed(t.notes(), "note_id", found), "Thin").select("note_id")
+
+
+def keyed_index(t: Tables):
+    return index(t).withColumn("item_key", F.sha2(F.concat_ws("|", "item_type", "label", "url"), 256))
+
+
+@query("search_box_by_pieces", *_BOX)
+def _(t):
+    text = F.concat_ws("\n", "label", "keywords", "descr")
+    found = grams.candidates(*listed(t, "index", lambda: keyed_index(t), "item_key", text), "API1")
+    return catalog.search(grams.narrowed(keyed_index(t), "item_key", found), "API1", 8)
+
+
+@query("find_api_by_pieces", *_FOUND)
+def _(t):
+    lists = listed(t, "catalog", lambda: market(t), "url", F.col("descr"))
+    found = grams.candidates(*lists, "weather").unionByName(grams.candidates(*lists, "forecast")).distinct()
+    return find(t, grams.narrowed(market(t), "url", found))
+
+
 # ---- usage ----------------------------------------------------------------------------------
 _AG = "(coalesce(tool, '') <> '' and coalesce(client, 'unknown') not in (" + ", ".join(f"'{c}'" for c in fixed.TOOLING_CLIENTS) + ", 'acme-own'))"
 

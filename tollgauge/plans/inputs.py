@@ -203,10 +203,11 @@ DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
               '0x' || lpad(lower(hex(o_orderkey + 1)), 64, '0') as tx,
               o_custkey + 100 as ms, {_PROMISE} as promise
             from {{orders}}))"""),
-    "captures": (("calls",), """
+    "recaptured": (("orders",), "select max(o_orderkey) as last_key from {orders} group by o_custkey"),
+    "captures": (("calls", "recaptured"), """
         select 'raw_' || day || '.jsonl' as file, o_orderkey as line, url, stdout, paid_tx as tx, payload from {calls}
         union all
-        select 'raw_9999-01-01.jsonl' as file, o_orderkey as line, url, stdout, paid_tx as tx, payload from {calls} where o_custkey % 9 = 0"""),
+        select 'raw_9999-01-01.jsonl' as file, o_orderkey as line, url, stdout, paid_tx as tx, payload from {calls} join {recaptured} on o_orderkey = last_key"""),
     "quotes": (("lineitem", "part"), f"""
         select category, host, url, quoted, ref, case n3
             when 0 then '{{{{"data":{{{{"last":' || {PRICE_TEXT.format(c='uc')} || ',"volume24h":' || vol || '}}}},"count":3}}}}'
@@ -279,8 +280,8 @@ DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
           '{{{{"price":{{{{"amount":"0.0' || (10 + cast(l_quantity as bigint)) || '"}}}},"paymentInfo":{{{{"network":"base"}}}}}}}}' as doc3,
           '{{{{"amount":"' || cast(l_quantity as bigint) * 1000 || '","recipient":"' || {seller('l_suppkey')} || '"}}}}' as doc6
         from {{lineitem}} join {{part}} on l_partkey = p_partkey"""),
-    "registry_a": (("pages",), "select page_id as ordinal, url as resource from {pages} where url like '%.example.com/%' or url like '%.example.net/%'"),
-    "registry_b": (("pages",), "select page_id as ordinal, url as resource from {pages} where url like '%.example.net/%' or url like '%.example.org/%'"),
+    "registry_a": (("orders",), "select o_orderkey as ordinal, 'https://api' || o_orderkey || '.example.com/v1/report' as resource from {orders}"),
+    "registry_b": (("lineitem",), "select l_orderkey as ordinal, 'https://api' || (l_orderkey + l_partkey) || '.example.com/v1/report' as resource from {lineitem}"),
 }
 
 

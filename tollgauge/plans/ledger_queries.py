@@ -146,8 +146,8 @@ def _(t):
     return receipts.link_capture_first(calls, captures(t)).select("url", "raw_file", "raw_line")
 
 
-@query("link_capture_last", "calls", """
-    select url, case when o_custkey % 9 = 0 then 'raw_9999-01-01.jsonl' else 'raw_' || day || '.jsonl' end as raw_file, paid_tx as raw_tx from calls""")
+@query("link_capture_last", "calls recaptured", """
+    select url, case when o_orderkey in (select last_key from recaptured) then 'raw_9999-01-01.jsonl' else 'raw_' || day || '.jsonl' end as raw_file, paid_tx as raw_tx from calls""")
 def _(t):
     return receipts.link_capture_last(t("calls").select("url"), captures(t)).select("url", "raw_file", "raw_tx")
 

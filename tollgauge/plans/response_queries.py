@@ -202,6 +202,16 @@ def _(t):
                                 out["days"].alias("days"), out["wallet"].alias("wallet"))
 
 
+@query("retarget_place", "", """
+    select c_custkey, 'New York' as city, '40.7128' as lat, '-74.006' as lng, 'New York' as q, '7' as days from customer""")
+def _(t):
+    given = F.create_map(F.lit("City"), F.col("c_name"), F.lit("Latitude"), F.lit("1"), F.lit("lng"), F.col("c_mktsegment"),
+                         F.lit("q"), F.col("c_mktsegment"), F.lit("days"), F.lit("7"))
+    out = shapes.retarget_place(given, "New York", "40.7128", "-74.006")
+    return t("customer").select("c_custkey", out["City"].alias("city"), out["Latitude"].alias("lat"), out["lng"].alias("lng"),
+                                out["q"].alias("q"), out["days"].alias("days"))
+
+
 # ---- conformance ------------------------------------------------------------------------
 def envelopes(t: Tables):
     calls = t.calls().select("o_orderkey", "url", "host", "quoted", "expect", "ms", "day", "stdout", "payload2")
@@ -273,20 +283,20 @@ def _(t):
         "host", "url", "status")
 
 
-@query("untested", "checks conf", """
-    select distinct origin from checks where origin not in (select host from conf where status = 'inconclusive')""")
+@query("untested", "registry_b calls", """
+    select distinct resource as url from registry_b where resource not in (select url from calls)""")
 def _(t):
-    cands = t("checks").select(F.col("origin").alias("url")).distinct()
-    done = rows(t).where("status = 'inconclusive'").select(F.col("host").alias("url"))
-    return conformance.untested(cands, done).select(F.col("url").alias("origin"))
+    """Listed by the second registry and never called."""
+    listed = t("registry_b").select(F.col("resource").alias("url")).distinct()
+    return conformance.untested(listed, t("calls").select("url"))
 
 
-@query("recall_targets", "conf", """
-    select url from conf where status = 'short' and ms <= 500""")
+@query("recall_targets", "conf captures", """
+    select url from conf where status = 'short' and url not in (select url from captures where file = 'raw_9999-01-01.jsonl')""")
 def _(t):
-    base = rows(t)
-    today = base.where("ms > 500").select("url")
-    return conformance.recall_targets(base.select("url"), base.where("status = 'short'"), today)
+    """Short verdicts to call again, without those the newest capture file has."""
+    base, newest = rows(t), t("captures").where("file = 'raw_9999-01-01.jsonl'")
+    return conformance.recall_targets(base.select("url"), base.where("status = 'short'"), newest)
 
 
 def _regrade(t):
