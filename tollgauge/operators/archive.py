@@ -18,6 +18,20 @@ def with_payment(captures: DataFrame) -> DataFrame:
     return find_payment(captures, "stdout")
 
 
+def identified(captures: DataFrame) -> DataFrame:
+    """Captures with ``capture_id``: their own, or a hash of URL, transaction and payload where they have none."""
+    if "capture_id" in captures.columns:
+        return captures
+    return captures.withColumn("capture_id", F.sha2(F.to_json(F.struct("url", "tx", "payload")), 256))
+
+
+def as_pointers(table: DataFrame) -> DataFrame:
+    """A pointer table as it is, or that of a table of captures (by ``ts`` if they have one, else by ``line``)."""
+    if {"first", "last"} <= set(table.columns):
+        return table
+    return capture_pointers(identified(table), "ts" if "ts" in table.columns else "line")
+
+
 def capture_pointers(captures: DataFrame, at: str = "ts") -> DataFrame:
     """One row for each archived response with a URL: ``capture_id``, ``url``, ``tx``, and the
     ``first`` and ``last`` place (file, at) where this content stands. Input: (capture_id, url, tx, file, ``at``)."""

@@ -7,7 +7,7 @@ from tollgauge import fixed_values as fixed
 from tollgauge import schemas
 from tollgauge.functions.numbers import to_bool, to_number
 from tollgauge.functions.text import has_any
-from tollgauge.operators.archive import link_first, link_last
+from tollgauge.operators.archive import as_pointers, identified, link_first, link_last
 from tollgauge.operators.ranks import first_per
 from tollgauge.operators.shapes import document, json_shape, judge_shape, kind_of, shape_text
 
@@ -62,7 +62,7 @@ def link_capture_last(calls: DataFrame, captures: DataFrame) -> DataFrame:
 
 def delivery_receipts(conformance: DataFrame, pointers: DataFrame, ts: str) -> DataFrame:
     """One receipt per judged call. Input rows carry a ``shape`` (types only); ``pointers`` is the
-    table of ``archive.capture_pointers``."""
+    table of ``archive.capture_pointers``, or the captures it is made of."""
     rows = conformance.where("url IS NOT NULL").select(
         "url", "host", F.col("quoted").cast("string").alias("quoted"),
         F.col("charged").cast("string").alias("charged"),
@@ -71,7 +71,7 @@ def delivery_receipts(conformance: DataFrame, pointers: DataFrame, ts: str) -> D
         F.nullif(F.col("tx"), F.lit("")).alias("tx"), F.col("ms").cast("bigint").alias("latency_ms"),
         "promised", "shape", shape_text(F.col("shape")).alias("observed"), "missing", "extra",
         "status", F.coalesce("why", F.lit("")).alias("why"))
-    linked = link_first(rows, pointers)
+    linked = link_first(rows, as_pointers(pointers))
     reverified = F.col("why") == fixed.WHY_CONFIRMED
     two_call = reverified | F.col("why").contains("re-verify")
     return linked.select(
@@ -105,7 +105,7 @@ def accuracy_receipts(graded: DataFrame, pointers: DataFrame | None = None) -> D
     if pointers is None:
         return made
     paid = F.coalesce(to_bool(F.col("paid").cast("string")), F.lit(False))
-    return link_last(made, pointers).withColumns({
+    return link_last(made, as_pointers(pointers)).withColumns({
         "charged": F.when(paid, F.col("quoted")).otherwise("0"), "free": ~paid, "tx": F.col("raw_tx"),
         "reverified": F.lit(False), "decided_by": F.lit("single call")}).drop("raw_tx")
 
@@ -202,6 +202,7 @@ def verify_delivery(ledger: DataFrame, captures: DataFrame) -> DataFrame:
     to, wherever it stands now. Input captures: (capture_id, payload).
     """
     rows = judge_shape(ledger, "shape", "promised", prefix="re_")
+    captures = identified(captures)
     readable = captures.where(F.coalesce(kind_of(document(captures, "payload")) != "null", F.lit(False)))
     one = readable.groupBy(F.col("capture_id").alias("_c")).agg(F.min("payload").alias("_payload"))
     linked = json_shape(rows.join(one, F.col("raw_id") == F.col("_c"), "left"), "_payload", out="_raw_shape").withColumn(
