@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tollgauge.llm import decontamination, simhash_dedup, toxicity
+from tollgauge.llm import decontamination, toxicity
 from tollgauge.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -35,21 +35,6 @@ def test_toxic_documents_go(spark, stages):
     assert ids(after) == ids(scored.where(F.col("_toxicity") < toxicity.THRESHOLD))
 
 
-def test_one_of_each_class_stays(spark, stages):
-    before, after = stages[1]
-    prints = lambda t: [simhash_dedup.simhash(t), *simhash_dedup.word_prints(t)]
-    rows = {r["doc_id"]: prints((r["text"] or "").encode()) for r in before.collect()}
-    label = {d: d for d in rows}
-    moved = True
-    while moved:  # brute force: the least id that links reach
-        moved = False
-        for a in rows:
-            for b in rows:
-                if label[b] < label[a] and any((x ^ y).bit_count() <= 3 for x, y in zip(rows[a], rows[b], strict=True)):
-                    label[a], moved = label[b], True
-    assert ids(after) == sorted(set(label.values()))
-
-
 def test_dropped_documents_share_four_fifths_of_their_shingles(stages):
     before, after = stages[1]
     sets = {}

@@ -22,21 +22,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgauge.llm.common import settled, table
+from tollgauge.llm.common import content_id, packed, settled, table, text_id
 from tollgauge.operators.graph import components
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 SMALL = 512
-WORD_PRINTS = 4
-LONG_WORD = 6
-LEAST_LONG_WORDS = 5
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 BANDS, BAND_MINIMA = 40, 8
 SPREADS = 4.5
-PLACES = (1, 4, 32)
+NEIGHBOURS = 3
+GROUP_NODES, GROUP_SHINGLES = 1024, 1 << 20
 _BLOCK = 1 << 16
 _RNG = np.random.default_rng(SEED)
 _FUNCTIONS = tuple(_RNG.integers(0, 1 << 63, BANDS * BAND_MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
@@ -207,30 +205,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "_row", "_key", "_fingerprint", F.coalesce("_linked", "_fingerprint").alias("_class"))
 
 
-def word_prints(data: bytes, prints: int = WORD_PRINTS) -> list[int]:
-    """Unsigned fingerprints over the different long words of a text, by remixed hashes. A text with
-    few long words has its shingles in their place. Few words of a near copy differ, while other texts
-    share hardly any long word."""
-    words = data.lower().split()
-    parts = {w for w in words if len(w) >= LONG_WORD}
-    if len(parts) < LEAST_LONG_WORDS:
-        width = min(SHINGLE_WORDS, len(words))
-        parts = {b" ".join(words[i:i + width]) for i in range(len(words) - width + 1)} if words else set()
-    if not parts:
-        return [0] * prints
-    base = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in parts), np.uint64, len(parts))
-    out = []
-    for r in range(1, prints + 1):
-        h = (base ^ np.uint64(r * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(32)
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(h), _BLOCK):
-            ones += np.unpackbits(h[at:at + _BLOCK].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        out.append(int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big"))
-    return out
-
-
 def shingles(data: bytes, shingle_words: int = SIMILAR_WORDS) -> np.ndarray:
     """Sorted hashes of the different shingles of a text; a shorter text is one shingle, none without words."""
     words = data.lower().split()
@@ -290,45 +264,108 @@ def _shared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield held
 
 
-def _pairs(low: int, high: int | None, similarity: float):
-    """Reads rows sorted by key and node. Gives the pairs (a, b) of each key that stand ``low`` to
-    ``high`` - 1 places apart, have different labels, and may be similar by their sizes and sketches."""
+def _most_bits(similarity: float) -> float:
+    """Bits of two sketches that differ at most, but for 2 in 100,000 of the pairs of just this similarity."""
     n = BANDS * BAND_MINIMA
-    most = n * (1 - similarity) / 2 + SPREADS * (n * (1 - similarity ** 2) / 4) ** 0.5
+    return n * (1 - similarity) / 2 + SPREADS * (n * (1 - similarity ** 2) / 4) ** 0.5
 
-    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def of(frame: pd.DataFrame) -> pd.DataFrame:
-            key, node, label, size = (frame[c].to_numpy(np.int64) for c in ("key", "node", "label", "size"))
-            sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), -1)
-            at, d, out = np.arange(len(key)), low, []
-            while high is None or d < high:
-                at = at[at < len(key) - d]
-                at = at[key[at] == key[at + d]]
-                if not len(at):
-                    break
-                some = at[label[at] != label[at + d]]
-                x, y = size[some], size[some + d]
-                some = some[np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9]
-                some = some[np.bitwise_count(sketch[some] ^ sketch[some + d]).sum(axis=1) <= most]
-                out.append(np.stack([node[some], node[some + d]], axis=1))
-                d += 1
-            found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
-            return pd.DataFrame(found, columns=["a", "b"])
 
+def _neighbours(similarity: float):
+    """Reads rows sorted by key and node. Gives the pairs (a, b) of each key that stand up to ``NEIGHBOURS``
+    places apart and may be similar by their sizes and sketches."""
+    most = _most_bits(similarity)
+
+    def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for frame in frames:
             if frame.empty:
                 continue
             frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            whole = int(np.searchsorted(frame["key"].to_numpy(np.int64), frame["key"].iloc[-1]))
-            if whole:
-                yield of(frame.iloc[:whole])
-            held = frame.iloc[whole:]
-        if held is not None:
-            yield of(held)
+            key, node, size = (frame[c].to_numpy(np.int64) for c in ("key", "node", "size"))
+            sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), -1)
+            out = []
+            for d in range(1, NEIGHBOURS + 1):
+                at = np.arange(max(0, len(key) - d))
+                at = at[key[at] == key[at + d]]
+                x, y = size[at], size[at + d]
+                at = at[np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9]
+                at = at[np.bitwise_count(sketch[at] ^ sketch[at + d]).sum(axis=1) <= most]
+                out.append(np.stack([node[at], node[at + d]], axis=1))
+            yield pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
+            held = frame.iloc[-NEIGHBOURS:]
     return pairs
 
 
+class _Group:
+    """The members of a key, or of two blocks of it, with their sets of shingles."""
+
+    def __init__(self, parts: list[dict[str, np.ndarray]]):
+        of = lambda c: parts[0][c] if len(parts) == 1 else np.concatenate([p[c] for p in parts])
+        self.key, self.node, self.size, self.own = of("key")[0], of("node"), of("size"), of("own")
+        self.crossed = self.own.min() != self.own.max()
+        self.root = of("label").copy()
+        self.sketch = np.frombuffer(b"".join(of("sketch")), np.uint64).reshape(len(self.node), -1)
+        self.keys = np.stack(of("keys"))
+        found, self.flat = np.unique(np.frombuffer(b"".join(of("found")), np.uint64), return_inverse=True)
+        self.starts = np.cumsum(np.r_[0, self.size])
+        self.marked = np.zeros(len(found), np.int32)
+
+    def candidates(self, i: int, similarity: float, most: float) -> np.ndarray:
+        """Later members that no link joins to i yet, that may be similar, and that meet i in this key first."""
+        at = np.flatnonzero(self.root[i + 1:] != self.root[i]) + i + 1
+        if self.crossed:
+            at = at[self.own[at] != self.own[i]]
+        x, y = self.size[at], self.size[i]
+        at = at[np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9]
+        at = at[np.bitwise_count(self.sketch[at] ^ self.sketch[i]).sum(axis=1) <= most]
+        same = self.keys[at] == self.keys[i]
+        return at[self.keys[i][same.argmax(axis=1)] == self.key]
+
+    def links(self, similarity: float) -> list[tuple[int, int]]:
+        """Verified links that join members which nothing has joined before: a spanning forest."""
+        most, out = _most_bits(similarity), []
+        for i in range(len(self.node) - 1):
+            at = self.candidates(i, similarity, most)
+            if not len(at):
+                continue
+            mine = self.flat[self.starts[i]:self.starts[i + 1]]
+            self.marked[mine] = 1
+            for j in at:
+                if self.root[j] == self.root[i]:
+                    continue
+                both = int(self.marked[self.flat[self.starts[j]:self.starts[j + 1]]].sum())
+                if both / (self.size[i] + self.size[j] - both) >= similarity - 1e-9:
+                    out.append((int(self.node[i]), int(self.node[j])))
+                    self.root[self.root == self.root[j]] = self.root[i]
+            self.marked[mine] = 0
+        return out
+
+
+def _verified(similarity: float):
+    """Reads rows sorted by key and block of it; gives the new links (a, b) of each group."""
+    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, last = [], None
+
+        def found() -> pd.DataFrame:
+            return pd.DataFrame(_Group(held).links(similarity), columns=["a", "b"], dtype=np.int64)
+
+        for frame in frames:
+            if frame.empty:
+                continue
+            columns = {c: frame[c].to_numpy() for c in frame.columns}
+            key, block = columns["key"], columns["block"]
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(frame)], strict=True):
+                if held and (key[a], block[a]) != last:
+                    yield found()
+                    held = []
+                held.append({c: v[a:b] for c, v in columns.items()})
+                last = key[a], block[a]
+        if held:
+            yield found()
+    return verify
+
+
 def _shingle_bytes():
     @F.pandas_udf("binary")
     def of(texts: pd.Series) -> pd.Series:
@@ -344,55 +381,67 @@ def _similar(similarity: float):
     return of
 
 
+def _classes(docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
+    """``_id`` (hash of the row's content), ``_key`` and ``_class`` of every row."""
+    if not SIMILARITY <= similarity <= 1:
+        raise ValueError("the bands find links of a similarity of at least 0.8")
+    body = F.col(f"`{text}`")
+    rows = settled(docs.select(content_id(docs).alias("_id"), F.col(f"`{key}`").alias("_key"), text_id(body).alias("_text"),
+                               _sets()(body.cast("binary")).alias("f")).select("_id", "_key", "_text", "f.*"))
+    nodes = rows.groupBy("node").agg(F.min("_text").alias("_text"), F.first("size").alias("size"),
+                                     F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+    shared = settled(nodes.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key").mapInPandas(
+        _shared, "key bigint, node bigint"))
+    known = settled(nodes.join(shared.select("node").distinct(), "node"))
+    texts = docs.select(text_id(body).alias("_text"), body.cast("binary").alias("data")).groupBy("_text").agg(F.first("data").alias("data"))
+    sets = settled(texts.join(known.select("_text", "node"), "_text").select("node", _shingle_bytes()("data").alias("found")))
+    near = shared.join(known.select("node", "size", "sketch"), "node").repartition("key").sortWithinPartitions("key", "node").mapInPandas(
+        _neighbours(similarity), "a bigint, b bigint").distinct()
+    edges = settled(near.join(sets.select(F.col("node").alias("a"), F.col("found").alias("fa")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("found").alias("fb")), "b").where(
+        _similar(similarity)("fa", "fb")).select("a", "b"))
+    classes = components(edges).select("node", F.col("component").alias("label"))
+    members = shared.join(known.join(classes, "node", "left").select("node", "size", F.coalesce("label", "node").alias("label")), "node")
+    parts = F.ceil(F.greatest(2 * F.col("n") / GROUP_NODES, 2 * F.col("shingles") / GROUP_SHINGLES))
+    open_keys = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles"), F.min("label").alias("least"), F.max("label").alias("most")).where(
+        "least < most").select("key", F.when((F.col("n") <= GROUP_NODES) & (F.col("shingles") <= GROUP_SHINGLES), 1).otherwise(
+            parts).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.select("key", "node", "label").join(open_keys, "key").withColumn("own", own).withColumn("other", F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)))
+    block = F.least("own", "other").cast("bigint") * F.col("blocks") + F.greatest("own", "other")
+    # where two different blocks come together, a member meets those of the other one only
+    verified = dealt.select("key", "node", "label", "own", block.alias("block")).join(
+        known.select("node", "size", "sketch", "keys"), "node").join(sets, "node").repartition("key", "block").sortWithinPartitions(
+        "key", "block", "node").mapInPandas(_verified(similarity), "a bigint, b bigint")
+    whole = components(edges.unionByName(settled(verified)))
+    return rows.join(whole, "node", "left").select("_id", "_key", F.coalesce("component", "node").alias("_class"))
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Per row: ``_row``, ``_key`` and ``_class``, for removing near copies. Two texts are linked if at
+    """Per row: ``_id`` (a hash of its content), ``_key`` and ``_class``, for removing near copies. Two texts are linked if at
     least ``similarity`` of their five-word shingles are common (Jaccard); every link is verified on the whole sets of shingles.
 
     Candidates share all minima of one of ``BANDS`` bands; a pair at exactly 0.8 is missed with a
     probability of 6 in 10,000, one at 0.85 of 3 in a million; the sketches add about 2 in 100,000 at 0.8. Texts with the same
-    shingles are one node. Within a key, neighbours are verified first; then what these links have not joined already, so a large class of near
-    copies needs few pairs, but no pair of two classes is left out. Edge cases are those of ``near_duplicates``.
+    shingles are one node. Within a key, neighbours are verified first. A key that these links have not joined to one class is then
+    compared within its group, where the sets of its members come together and a pair is compared in the first key it shares only; a large key is dealt
+    to tasks as pairs of blocks. What leaves a group is a forest of links, so no output grows with the square of a group.
+
+    Null and empty texts are one class; repeated rows and keys each keep their row; texts are known by their hash from
+    one scan to the next; columns of any names pass; an empty table gives an empty result.
     """
-    if not SIMILARITY <= similarity <= 1:
-        raise ValueError("the bands find links of a similarity of at least 0.8")
-    body = F.col(f"`{text}`").cast("binary")
-    rows = settled(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(f"`{key}`").alias("_key"),
-                               _sets()(body).alias("f")).select("_row", "_key", "f.*"))
-    nodes = rows.groupBy("node").agg(F.min("_row").alias("_row"), F.first("size").alias("size"),
-                                     F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
-    shared = settled(nodes.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key").mapInPandas(
-        _shared, "key bigint, node bigint"))
-    known = settled(nodes.drop("keys").join(shared.select("node").distinct(), "node"))
-    sets = settled(docs.select(F.monotonically_increasing_id().alias("_row"), body.alias("text")).join(
-        known.select("_row", "node"), "_row").select("node", _shingle_bytes()("text").alias("found")))
-    known, edges, classes = known.select("node", "size", "sketch"), None, None
-    for low, high in zip(PLACES, [*PLACES[1:], None], strict=True):
-        if classes is not None:
-            crowded = shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > low).select("key")
-            shared = settled(shared.join(crowded, "key"))
-            if shared.isEmpty():
-                break
-            known = known.drop("label").join(classes.select("node", F.col("component").alias("label")), "node", "left")
-        label = F.coalesce("label", "node") if "label" in known.columns else F.col("node")
-        pairs = shared.join(known, "node").select("key", "node", "size", "sketch", label.alias("label")).repartition(
-            "key").sortWithinPartitions("key", "node").mapInPandas(_pairs(low, high, similarity), "a bigint, b bigint").distinct()
-        found = settled(pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("fa")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("found").alias("fb")), "b").where(
-            _similar(similarity)("fa", "fb")).select("a", "b"))
-        edges = found if edges is None else edges.unionByName(found)
-        classes = components(edges)
-    return rows.join(classes.select("node", "component"), "node", "left").select(
-        "_row", "_key", F.coalesce("component", "node").alias("_class"))
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    return _classes(docs, key, text, similarity)
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class of ``near_copies``: the one with the least key (null first),
-    then row number. ``docs`` must give the same rows in the same partitions whenever it is read, as a
-    table does."""
-    found = near_copies(docs, key, text, **options)
-    first = found.groupBy("_class").agg(F.min(F.struct("_key", "_row"))["_row"].alias("_llm_row"))
-    return docs.withColumn("_llm_row", F.monotonically_increasing_id()).join(
-        first.select("_llm_row"), "_llm_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    then hash of its content. Columns of any names pass through; of repeated rows one stays."""
+    first = _classes(docs, key, text, similarity).groupBy("_class").agg(F.min(F.struct("_key", "_id"))["_id"].alias("id"))
+    # equal rows are one before they meet in a task
+    one = docs.select(content_id(docs).alias("id"), packed(docs).alias("row")).groupBy("id").agg(F.first("row").alias("row"))
+    return one.join(first.select("id"), "id", "left_semi").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
