@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgauge.llm.common import table
+from tollgauge.llm.common import packed, table, text_id
 
 SIMILARITY = 0.8
 WALKS, BANDS, KEYS = 3, 4, 4
@@ -139,6 +139,14 @@ def piece_keys(flat: np.ndarray, length: int) -> np.ndarray:
     return key
 
 
+def _sieve(keys: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """Which high bits some key has, and how far a key is shifted to them: about a hundredth of other keys pass, however many there are."""
+    shift = np.uint64(64 - min(_TABLE_BITS, max(10, len(keys).bit_length() + 7)))
+    table = np.zeros(1 << (64 - int(shift)), bool)
+    table[keys >> shift] = True
+    return table, shift
+
+
 class Index:
     """Items by their sampled keys, short ones by their pieces."""
 
@@ -154,10 +162,8 @@ class Index:
         self.pieces = {}
         for length, rows in pieces.items():
             rows.sort()
-            table = np.zeros(1 << _TABLE_BITS, bool)
             keys = np.array([r[0] for r in rows], np.uint64)
-            table[keys >> np.uint64(64 - _TABLE_BITS)] = True
-            self.pieces[length] = keys, np.array([r[1:] for r in rows], np.int64), table
+            self.pieces[length] = keys, np.array([r[1:] for r in rows], np.int64), *_sieve(keys)
         rows = []  # item number, start within it, class
         flat, bounds = [], 0
         for number, (_, words) in enumerate(items):
@@ -179,9 +185,7 @@ class Index:
                     order = np.argsort(keys, kind="stable")
                     where = walk, c, band
                     self.keys[where], self.rows[where] = keys[order], mine[order]
-                    self.tables[where] = np.zeros(1 << _TABLE_BITS, bool) if len(keys) else None
-                    if len(keys):
-                        self.tables[where][keys >> np.uint64(64 - _TABLE_BITS)] = True
+                    self.tables[where] = _sieve(keys) if len(keys) else None
         self.masks = []
         for _, words in items:
             mask: dict[int, int] = {}
@@ -193,9 +197,9 @@ class Index:
         """(item number, word where the item would begin) of all windows that share a key, with the
         word where the window begins."""
         at, found = starts(flat), {}
-        for length, (have, rows, table) in self.pieces.items():
+        for length, (have, rows, table, shift) in self.pieces.items():
             key = piece_keys(flat, length)
-            maybe = np.flatnonzero(table[key >> np.uint64(64 - _TABLE_BITS)])
+            maybe = np.flatnonzero(table[key >> shift])
             first, last = np.searchsorted(have, key[maybe], "left"), np.searchsorted(have, key[maybe], "right")
             for i, a, b in zip(maybe[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist(), strict=True):
                 for number, start in rows[a:b].tolist():
@@ -206,7 +210,8 @@ class Index:
                 if w != walk or not len(have):
                     continue
                 key = keys[c][band]
-                maybe = np.flatnonzero(self.tables[w, c, band][key >> np.uint64(64 - _TABLE_BITS)])
+                table, shift = self.tables[w, c, band]
+                maybe = np.flatnonzero(table[key >> shift])
                 first, last = np.searchsorted(have, key[maybe], "left"), np.searchsorted(have, key[maybe], "right")
                 for i, a, b in zip(maybe[last > first].tolist(), first[last > first].tolist(), last[last > first].tolist(), strict=True):
                     rows = self.rows[w, c, band][a:b]
@@ -278,23 +283,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", sim
     sizes = benchmark.select("item_id", "text").where("text is not null and item_id is not null").distinct()
     total = sizes.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     slices, out, words = max(1, math.ceil(total / slice_words)), None, Words()
-    rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("key"), F.col("text"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col("text"))
+    kind = rows.schema["key"].dataType.simpleString()
     for part in range(slices):
         mine = sizes.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == part).collect()  # at most about slice_words words
         items = sorted(((int(r["item_id"]), words.of(r["text"])) for r in mine), key=lambda x: (x[0], len(x[1])))
         items = [x for x in items if len(x[1]) >= LEAST_WORDS]
-        found = rows.mapInPandas(_searcher(items, similarity), "_key bigint, item_id bigint, distance int, "
+        found = rows.mapInPandas(_searcher(items, similarity), f"_key {kind}, item_id bigint, distance int, "
                                  "similarity double, item_words int, end_word int")
         out = found if out is None else out.unionByName(found)
     return out.withColumnRenamed("_key", key)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows in which an item is found. ``docs`` must give the same rows in the
-    same partitions whenever it is read, as a table does."""
-    rows = docs.withColumn("_llm_row", F.monotonically_increasing_id())
-    found = contaminated(rows.select("_llm_row", "text"), benchmark, key="_llm_row", **options).select("_llm_row").distinct()
-    return rows.join(found, "_llm_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows in which an item is found. What is found is a text, known by its hash, so repeated rows stay or go
+    together; columns of any names pass through; null and empty texts stay; an empty table gives an empty result."""
+    of = text_id(F.col(f"`{text}`"))
+    found = contaminated(docs.select(of.alias("id"), F.col(f"`{text}`").alias("text")), benchmark, key="id", **options)
+    return docs.select(packed(docs).alias("row"), of.alias("id")).join(found.select("id").distinct(), "id", "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
