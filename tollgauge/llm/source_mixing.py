@@ -17,10 +17,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tollgauge.llm.common import WORD, settled, table
+from tollgauge.llm.common import WORD, content_id, packed, settled, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -130,9 +130,9 @@ def fitting(sizes: list[int], room: int) -> list[bool]:
 
 def _fitting(pdf: pd.DataFrame) -> pd.DataFrame:
     """Documents of a source's last blocks that are taken, tried in hash order."""
-    pdf = pdf.sort_values(["_mix_order", "_mix_row"], kind="stable")
+    pdf = pdf.sort_values(["_mix_order", "a", "b", "_mix_row"], kind="stable")
     taken = fitting(pdf["_mix_size"].tolist(), int(pdf["_mix_room"].iloc[0]))
-    return pdf.loc[taken, ["_mix_row", "_mix_copy", "_mix_shard"]]
+    return pdf.loc[taken, ["_mix_row", "_mix_copy", "_mix_shard", "a", "b"]]
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -149,10 +149,25 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     Null and empty texts have size 0; a null source is a source of its own, the last one;
     an empty table gives empty results. Equal hashes fall back to the row number.
     """
-    spark = docs.sparkSession
-    rows = settled(docs.select(
-        F.monotonically_increasing_id().alias("_mix_row"), F.col(key).alias("_mix_key"),
-        F.col(source).alias("_mix_name"), word_count(F.col(text)).alias("_mix_size")))
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("_mix_row"), *_facts_of(docs, key, text, source)))
+    facts, plan, shards = _planned(rows, weights, share, max_repeats, block_words, max_blocks, shards, seed)
+    known = _in_blocks(rows, facts, seed)
+    draws = _drawn(known, plan).unionByName(_fitted(known, plan).drop("_mix_id"))
+    return (known.select("_mix_row", F.col("_mix_key").alias(key), F.col("_mix_name").alias(source), "_mix_size",
+                         "_mix_source_size", "_mix_target"),
+            draws.withColumn("_mix_order", F.xxhash64("_mix_shard", "_mix_row", "_mix_copy", F.lit(seed))), shards)
+
+
+def _facts_of(docs: DataFrame, key: str, text: str, source: str) -> list[Column]:
+    return [F.col(f"`{key}`").alias("_mix_key"), F.col(f"`{source}`").alias("_mix_name"),
+            word_count(F.col(f"`{text}`")).alias("_mix_size"), content_id(docs).alias("_mix_id")]
+
+
+def _planned(rows: DataFrame, weights, share: float, max_repeats: int, block_words: int, max_blocks: int, shards: int | None,
+             seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """(facts of each source, plan, shards): the plan says for each copy of a block of a source its shard, and what room a
+    boundary block has (-1: it is taken whole)."""
+    spark = rows.sparkSession
     per_source = rows.groupBy("_mix_name").agg(F.sum("_mix_size").alias("size")).collect()  # a row per source
     sizes = {r["_mix_name"]: int(r["size"]) for r in per_source}
     goal = targets(sizes, weights, share, max_repeats)
@@ -161,22 +176,33 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     facts = _local(spark, [(i, n, sizes[n], goal[n], min(max_blocks, max(1, math.ceil(sizes[n] / block_words))))
                            for i, n in enumerate(names)],
                    "_mix_source bigint, _mix_name string, _mix_source_size bigint, _mix_target double, _mix_blocks bigint")
-    known = rows.alias("r").join(facts.alias("f"), F.col("r._mix_name").eqNullSafe(F.col("f._mix_name"))).select(
-        "_mix_row", "_mix_key", "r._mix_name", "_mix_size", "_mix_source", "_mix_source_size", "_mix_target",
+    sums = _in_blocks(rows, facts, seed).groupBy("_mix_name", "_mix_block").agg(F.sum("_mix_size").alias("words")).toPandas()
+    sums.columns = ["source", "block", "words"]
+    plan = _local(spark, block_plan(sums, goal, shards, seed).to_numpy().tolist(), "_mix_source bigint, _mix_block bigint, "
+                  "_mix_copy bigint, _mix_room bigint, _mix_shard bigint")
+    return facts, plan, shards
+
+
+def _in_blocks(rows: DataFrame, facts: DataFrame, seed: int) -> DataFrame:
+    """Rows with what is known of their source, and their block, which is a hash of the key."""
+    same = F.col("r._mix_name").eqNullSafe(F.col("f._mix_name"))
+    return rows.alias("r").join(facts.alias("f"), same).select(
+        *[f"r.{c}" for c in rows.columns], "_mix_source", "_mix_source_size", "_mix_target",
         F.pmod(F.xxhash64("_mix_key", F.lit(seed)), F.col("_mix_blocks")).alias("_mix_block"),
         F.xxhash64("_mix_key", F.lit(seed + 1)).alias("_mix_order"))
-    sums = known.groupBy("_mix_name", "_mix_block").agg(F.sum("_mix_size").alias("words")).toPandas()
-    sums.columns = ["source", "block", "words"]
-    plan = block_plan(sums, goal, shards, seed)
-    drawn = known.join(_local(spark, plan.to_numpy().tolist(), "_mix_source bigint, _mix_block bigint, _mix_copy bigint, "
-                              "_mix_room bigint, _mix_shard bigint"), ["_mix_source", "_mix_block"])
-    part = ["_mix_row", "_mix_copy", "_mix_shard"]
-    fitted = drawn.where("_mix_room >= 0").select("_mix_source", "_mix_order", "_mix_size", "_mix_room", *part).groupBy(
-        "_mix_source").applyInPandas(_fitting, "_mix_row bigint, _mix_copy bigint, _mix_shard bigint")
-    draws = drawn.where("_mix_room < 0").select(part).unionByName(fitted)
-    return (known.select("_mix_row", F.col("_mix_key").alias(key), F.col("_mix_name").alias(source), "_mix_size",
-                         "_mix_source_size", "_mix_target"),
-            draws.withColumn("_mix_order", F.xxhash64("_mix_shard", "_mix_row", "_mix_copy", F.lit(seed))), shards)
+
+
+def _drawn(known: DataFrame, plan: DataFrame) -> DataFrame:
+    """Copies of the rows whose blocks are taken whole."""
+    return known.join(plan.where("_mix_room < 0"), ["_mix_source", "_mix_block"]).select("_mix_row", "_mix_copy", "_mix_shard")
+
+
+def _fitted(known: DataFrame, plan: DataFrame) -> DataFrame:
+    """Copies of the rows that are taken from boundary blocks."""
+    return known.join(plan.where("_mix_room >= 0"), ["_mix_source", "_mix_block"]).select(
+        "_mix_source", "_mix_order", "_mix_size", "_mix_room", "_mix_row", "_mix_copy", "_mix_shard", "_mix_id.a", "_mix_id.b").groupBy(
+        "_mix_source").applyInPandas(_fitting, "_mix_row bigint, _mix_copy bigint, _mix_shard bigint, a bigint, b bigint").select(
+        "_mix_row", "_mix_copy", "_mix_shard", F.struct("a", "b").alias("_mix_id"))
 
 
 def _local(spark: SparkSession, rows: list, schema: str) -> DataFrame:
@@ -184,15 +210,35 @@ def _local(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
+                    share: float = SHARE, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS,
+                    max_blocks: int = MAX_BLOCKS, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """The mix itself: a row per copy taken, with the columns of ``docs`` and mix_shard, mix_copy
-    (existing columns of these names are replaced), each shard in one partition and shuffled."""
-    _, draws, shards = mix(docs, **options)
-    rows = docs.withColumn("_mix_row", F.monotonically_increasing_id())
-    kept = [c for c in docs.columns if c not in ("mix_shard", "mix_copy")]
-    out = rows.join(draws, "_mix_row").repartition(shards, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_order", "_mix_row")
-    return out.select(*[F.col(f"`{c}`") for c in kept], F.col("_mix_shard").alias("mix_shard"),
-                      F.col("_mix_copy").alias("mix_copy"))
+    (existing columns of these names are replaced; any other name passes through), each shard in one partition and shuffled.
+
+    No row is looked up by a number. Blocks that are taken whole are known by the hash of the key again when the texts are read;
+    only rows of the few boundary blocks are known by a hash of their content and, among equal rows, their rank. Nulls,
+    repeated rows and empty tables are those of ``mix``.
+    """
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("_mix_row"), *_facts_of(docs, key, text, source)))
+    facts, plan, shards = _planned(rows, weights, share, max_repeats, block_words, max_blocks, shards, seed)
+    whole = docs.select(packed(docs).alias("row"), F.col(f"`{key}`").alias("_mix_key"), F.col(f"`{source}`").alias("_mix_name"),
+                        content_id(docs).alias("_mix_id"))
+    texts = _in_blocks(whole, facts, seed)
+    drawn = texts.join(plan.where("_mix_room < 0"), ["_mix_source", "_mix_block"]).select("row", "_mix_id", "_mix_copy", "_mix_shard")
+    # equal rows of a boundary block are told apart by rank, in both readings of the table
+    alike = Window.partitionBy("_mix_id")
+    edge = plan.where("_mix_room >= 0").select("_mix_source", "_mix_block").distinct()
+    numbered = _in_blocks(rows, facts, seed).join(edge, ["_mix_source", "_mix_block"], "left_semi").select(
+        "_mix_row", "_mix_id", F.row_number().over(alike.orderBy("_mix_row")).alias("_mix_rank"))
+    taken = _fitted(_in_blocks(rows, facts, seed), plan).drop("_mix_id").join(numbered, "_mix_row").drop("_mix_row")
+    last = texts.join(edge, ["_mix_source", "_mix_block"], "left_semi").select(
+        "row", "_mix_id", F.row_number().over(alike.orderBy("_mix_key")).alias("_mix_rank")).join(taken, ["_mix_id", "_mix_rank"])
+    both = drawn.unionByName(last.select("row", "_mix_id", "_mix_copy", "_mix_shard"))
+    order = F.xxhash64("_mix_shard", "_mix_id", "_mix_copy", F.lit(seed))
+    out = both.withColumn("_mix_order", order).repartition(shards, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_order", "_mix_copy")
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in ("mix_shard", "mix_copy")],
+                      F.col("_mix_shard").alias("mix_shard"), F.col("_mix_copy").alias("mix_copy"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
