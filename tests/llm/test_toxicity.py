@@ -42,6 +42,30 @@ def test_swap_penalty_takes_weight_from_group_mentions():
     assert fair("you idiot") > fair("you") and fair("idiot moron w1") > 0.7
 
 
+def test_the_default_penalty_frees_neutral_mentions_of_planted_groups():
+    """Mentions planted as unevenly as in life: with the swaps the model calls far fewer neutral ones toxic and keeps its insults."""
+    rows = labelled(800, 11)
+    present, swaps = [features(t) for t, _ in rows], [swapped(t) for t, _ in rows]
+    labels = np.array([y for _, y in rows])
+    rng = random.Random(5)
+    neutral = [" ".join(f"w{rng.randint(0, 80)}" for _ in range(30)) + f" {g}" for g in ("women", "men") for _ in range(100)]
+    toxic = [t.replace("women", "w1") for t, y in rows if y and ("idiot" in t or "moron" in t)]
+    blind = op.fit(present, [None] * len(rows), labels).scorer()
+    fair = op.fit(present, swaps, labels).scorer()
+    called = lambda s, texts: sum(s(t) >= 0.5 for t in texts) / len(texts)
+    assert called(blind, neutral[:100]) > 0.5 and called(fair, neutral) < 0.1
+    assert called(fair, toxic) > 0.9
+    assert max(abs(fair(t) - fair(t.replace("women", "men"))) for t in neutral[:100]) < 0.03
+
+
+def test_held_out_toxic_rows_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = op.query(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").collect()
+    toxic = [r["predicted"] for r in rows if r["toxic"] == 1]
+    clean = [r["predicted"] for r in rows if r["toxic"] == 0]
+    assert sum(toxic) >= 0.8 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
 def test_swaps_stay_within_their_list():
     assert op.SWAPS[b"women"] == b"men" and op.SWAPS["chrétiens".encode()] == b"musulmans"
     assert sorted(op.SWAPS) == sorted(op.SWAPS.values())

@@ -206,7 +206,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], Labeller | No
     count = docs.where((fold(F.col("doc_id"), FOLDS) != HELD) & F.col("lang").isNotNull()).count()
     share = min(1.0, sample / max(1, count))
     rows = known.where(hash_below(F.col("doc_id"), SEED, share)).mapInPandas(
-        _cut, "doc_id bigint, number int, lang string, window binary").limit(2 * sample * WINDOWS).toPandas()
+        _cut, "doc_id bigint, number int, lang string, window binary").orderBy(
+        F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "number", "window").limit(2 * sample * WINDOWS).toPandas()
     rows = rows.sort_values(["doc_id", "number", "window"], kind="stable")
     languages = sorted(rows["lang"].unique())
     if not languages:
@@ -236,7 +237,7 @@ def _predictor(languages: list[str], network: Labeller | None):
 
 
 def identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with _language (lang, score, bytes_labelled: bytes that bear each language).
+    """``docs`` with _language (lang, score, bytes_labelled: bytes that bear each language); a column of this name is replaced.
 
     ``und`` with score 0 for a null text, one without a letter, or where no labelled document was at
     hand; equal probabilities go to the first language by name. Lang, source and ids are not read for

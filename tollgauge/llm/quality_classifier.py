@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgauge.llm.common import fold, labelled_ids, table
+from tollgauge.llm.common import fold, labelled_ids, labelled_rows, table
 
 SAMPLE = 5000
 FOLDS, HELD = 4, 2
@@ -137,7 +137,7 @@ def _with_metadata(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Fit on about ``sample`` labelled documents outside the held-out fold."""
     ids = labelled_ids(labels, "quality", FOLDS, HELD, sample, SEED)
-    rows = _with_metadata(docs).select("doc_id", "text", "n_chars").join(F.broadcast(ids), "doc_id").mapInPandas(
+    rows = labelled_rows(_with_metadata(docs), ids, "text", "n_chars").mapInPandas(
         _feature_rows, "doc_id bigint, label int, columns array<int>, values array<double>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     return fit([np.asarray(c, np.int64) for c in rows["columns"]], [np.asarray(v) for v in rows["values"]],
@@ -159,15 +159,14 @@ def score_udf(machine: Machine):
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with _quality (0 to 1, higher: likelier good).
+    """``docs`` with _quality (0 to 1, higher: likelier good); a column of this name is replaced.
 
     A null text is an empty one; a missing or null n_chars has a bin of its own; repeated rows are
     scored alike. Without labels, or with one class only, every score is the class prior. Labels,
     lang, source and ids are not read for a score; other columns pass through.
     """
-    rows = _with_metadata(docs)
-    out = rows.withColumn("_quality", score_udf(train(docs, labels, sample))(F.col("text"), F.col("n_chars").cast("double")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "_quality")
+    score = score_udf(train(docs, labels, sample))(F.col("text"), F.col("n_chars").cast("double"))
+    return _with_metadata(docs).select(*[F.col(f"`{c}`") for c in docs.columns if c != "_quality"], score.alias("_quality"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -226,15 +226,18 @@ def repeats(docs: DataFrame, text: str = "text", with_text: bool = False, most:
 
 def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with each text reduced to its kept bytes (a character that loses a byte goes) and, where
-    it exists, n_chars set to the new length. No row is dropped; a null text stays null."""
-    found = repeats(docs, text, with_text=True).select("_text_id", F.col("kept").alias("_llm_kept"))
+    it exists, n_chars set to the new length. No row is dropped; a null text stays null; repeated rows are
+    all kept and all cut alike; columns of any other names pass through; an empty table gives an empty result."""
+    found = repeats(docs, text, with_text=True).select("_text_id", "kept")
     whole = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    rest = docs.withColumn("_text_id", F.unhex(F.md5(whole))).withColumn("_llm_null", F.col(f"`{text}`").isNull()).drop(text)
-    new = F.when(~F.col("_llm_null"), _decoder()("_llm_kept"))
-    out = rest.join(found, "_text_id").withColumn(text, new)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    rest = docs.select(F.unhex(F.md5(whole)).alias("_text_id"), F.col(f"`{text}`").isNull().alias("_null"),
+                       (F.struct(*others) if others else F.lit(None)).alias("row"))
+    out = rest.join(found, "_text_id").select("row", F.when(~F.col("_null"), _decoder()("kept")).alias("_new"))
+    new = {text: F.col("_new")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.char_length(text).cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.coalesce(F.char_length("_new").cast(docs.schema["n_chars"].dataType), F.col("row.n_chars"))
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _decoder():

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgauge.llm.common import fold, labelled_ids, table
+from tollgauge.llm.common import fold, labelled_ids, labelled_rows, table
 
 SAMPLE = 5000
 FOLDS, HELD = 3, 1
@@ -157,7 +157,7 @@ def _feature_rows(frames):
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on about ``sample`` labelled documents outside the held-out fold."""
     ids = labelled_ids(labels, "toxic", FOLDS, HELD, sample, SEED)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").mapInPandas(
+    rows = labelled_rows(docs, ids, "text").mapInPandas(
         _feature_rows, "doc_id bigint, label int, plain array<int>, swapped array<int>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     return fit([np.asarray(p, np.int64) for p in rows["plain"]],
@@ -184,8 +184,11 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Documents whose score stays below the threshold."""
-    return scored(docs, labels).where(F.col("_toxicity") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents whose score stays below the threshold. Columns of any names pass through; repeated rows stay or go
+    together; null and empty texts get the score of a text without words; an empty table gives an empty result."""
+    model = train(docs, labels)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), score_udf(model)(F.col("text")).alias("score"))
+    return rows.where(F.col("score") < threshold).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
