@@ -79,7 +79,7 @@ def _overlaps(sets: DataFrame, common: int) -> tuple[DataFrame, DataFrame, DataF
 
     Input: one row per (scope, tset) with ``tags``. Gives three tables. ``rare`` (scope, tset, tset2, shared): pairs that share a
     tag found on at most ``common`` sets, with all they share. ``kinds`` (scope, tset, kind): the common tags of a
-    set, as text. ``between`` (scope, kind, kind2, shared): how many common tags two kinds share, none included. Sets of one kind are
+    set, as text. ``between`` (scope, kind, kind2, shared): how many common tags two kinds share, if any. Sets of one kind are
     alike to every set that shares no rare tag with them, and there are few kinds: tags above the limit are few.
     """
     one = sets.select("scope", "tset", F.explode("tags").alias("t"))
@@ -88,16 +88,16 @@ def _overlaps(sets: DataFrame, common: int) -> tuple[DataFrame, DataFrame, DataF
     often = marked.where("often").groupBy("scope", "tset").agg(F.array_sort(F.collect_list("t")).alias("ct"))
     kinds = sets.select("scope", "tset").join(often, ["scope", "tset"], "left").select(
         "scope", "tset", F.coalesce("ct", F.array().cast("array<string>")).alias("ct")).withColumn("kind", F.array_join("ct", "\u0001"))
-    kind = kinds.select("scope", "kind", "ct").distinct()
-    between = kind.join(kind.select("scope", F.col("kind").alias("kind2"), F.col("ct").alias("ct2")), "scope").select(
-        "scope", "kind", "kind2", F.size(F.array_intersect("ct", "ct2")).cast("bigint").alias("shared"))
+    kind = kinds.select("scope", "kind", "ct").distinct().select("scope", "kind", F.explode("ct").alias("t"))
+    between = kind.join(kind.select("scope", F.col("kind").alias("kind2"), "t"), ["scope", "t"]).groupBy(
+        "scope", "kind", "kind2").agg(F.count("*").alias("shared"))
     seldom = marked.where("not often").select("scope", "tset", "t")
     pairs = seldom.join(seldom.select("scope", F.col("tset").alias("tset2"), "t"), ["scope", "t"]).groupBy(
         "scope", "tset", "tset2").agg(F.count("*").alias("n"))
     of = kinds.select("scope", "tset", "kind")
     rare = pairs.join(of, ["scope", "tset"]).join(of.select("scope", F.col("tset").alias("tset2"), F.col("kind").alias("kind2")), [
-        "scope", "tset2"]).join(between, ["scope", "kind", "kind2"]).select(
-        "scope", "tset", "tset2", (F.col("n") + F.col("shared")).alias("shared"))
+        "scope", "tset2"]).join(between, ["scope", "kind", "kind2"], "left").select(
+        "scope", "tset", "tset2", (F.col("n") + F.coalesce("shared", F.lit(0))).alias("shared"))
     return rare, of, between
 
 
@@ -127,8 +127,8 @@ def related(posts: DataFrame, k: int = 4, common: int = COMMON_SETS) -> DataFram
     mine = few.where("service != ''").withColumnRenamed("service", "scope")
     by_rare = rare.join(mine.select("scope", F.col("tset").alias("tset2"), "id"), ["scope", "tset2"]).select("scope", "tset", "id", "shared")
     of_kind = _first(mine.join(kinds, ["scope", "tset"]), ["scope", "kind"], k + 1, "id")
-    by_kind = kinds.join(between, ["scope", "kind"]).join(
-        of_kind.select("scope", F.col("kind").alias("kind2"), "id"), ["scope", "kind2"]).select("scope", "tset", "id", "shared")
+    by_kind = kinds.join(of_kind.select("scope", F.col("kind").alias("kind2"), "id"), "scope").join(
+        between, ["scope", "kind", "kind2"], "left").select("scope", "tset", "id", F.coalesce("shared", F.lit(0)).alias("shared"))
     peers = by_rare.unionByName(by_kind).groupBy("scope", "tset", "id").agg(F.max("shared").alias("shared"))
     same = _first(peers, ["scope", "tset"], k + 1, F.desc("shared"), "id").select(
         F.col("scope").alias("service"), "tset", "id", F.lit(0).alias("grp"), "shared")
@@ -138,7 +138,7 @@ def related(posts: DataFrame, k: int = 4, common: int = COMMON_SETS) -> DataFram
     rare, kinds, between = (df.drop("scope") for df in _overlaps(sets, common))
     by_rare = rare.join(few.select(F.col("tset").alias("tset2"), "service", "id"), "tset2").select("tset", "service", "id", "shared")
     lowest = _first(few.join(kinds, "tset"), ["kind", "service"], k + 1, "id")
-    per_kind = between.where("shared > 0").join(lowest.select(F.col("kind").alias("kind2"), "service", "id"), "kind2")
+    per_kind = between.join(lowest.select(F.col("kind").alias("kind2"), "service", "id"), "kind2")
     per_kind = _first(_first(per_kind, ["kind", "service"], k + 1, F.desc("shared"), "id"), ["kind"], 3 * k + 3, F.desc("shared"), "id")
     by_kind = kinds.join(per_kind.select("kind", "service", "id", "shared"), "kind").select("tset", "service", "id", "shared")
     cand = by_rare.unionByName(by_kind).groupBy("tset", "service", "id").agg(F.max("shared").alias("shared"))
