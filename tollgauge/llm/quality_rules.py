@@ -87,6 +87,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: s
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "log_ratio", "kept")
 
 
+HELPERS = {"_words", "_lines", "_windows", "_sorted", "_again", "_grams"}
+
+
 def judged(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text",
            threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the base figures, base_failed, log_ratio (mean per n-gram) and kept; existing
@@ -98,8 +101,9 @@ def judged(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     """
     # BUCKETS numbers, whatever the size of the corpus, go to the plan as one constant
     weights = F.lit(np.array(log_ratios(docs, trusted, key, text).first()["w"], dtype=np.float64))
+    clash = HELPERS & set(docs.columns)  # then the columns travel in a struct, out of the way
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("_text"))
-    out = base_columns(rows, "_text")
+    out = base_columns(rows, "_text") if clash else base_columns(docs, text)
     out = out.withColumn("_grams", _buckets(F.col("_words")))
     total = F.aggregate("_grams", F.lit(0.0), lambda a, b: a + F.get(weights, b))
     out = out.withColumns({
@@ -107,6 +111,8 @@ def judged(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
             100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")),
         "log_ratio": F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(0.0)})
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= threshold))
+    if not clash:
+        return out.drop("_words", "_grams")
     return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in FIGURES], *FIGURES)
 
 
