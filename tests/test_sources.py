@@ -110,3 +110,14 @@ def test_streaming_ledger_equals_batch_supersede_over_any_split(spark, tmp_path)
             spark.createDataFrame(batch, LEDGER).coalesce(1).write.mode("append").parquet(src)
             streams.stream_ledger(spark.readStream.schema(LEDGER).parquet(src), path, str(tmp_path / f"cp{k}"))
         assert {tuple(r) for r in streams.current_ledger(spark, path, old).collect()} == want
+
+
+def test_a_table_in_one_row_group_is_dealt_out(spark, tmp_path):
+    """One row group is one task of a scan, and all work on its rows would be that task's."""
+    rows = spark.range(200000).select(F.col("id").alias("o_orderkey"), F.sha2(F.col("id").cast("string"), 256).alias("o_comment"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    rows.limit(5).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    t = Tables(spark, str(tmp_path))
+    tasks = t("orders").rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(n > 0 for n in tasks) >= 2 * spark.sparkContext.defaultParallelism and sum(tasks) == 200000
+    assert t("orders").exceptAll(rows).isEmpty() and t("part").rdd.getNumPartitions() == 1
