@@ -3,6 +3,7 @@ import random
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tollgauge.llm import simhash_dedup as op
 
@@ -148,3 +149,19 @@ def test_every_near_copy_is_verified_and_none_is_missed(spark):
 def test_similarity_below_the_bands_is_refused(spark):
     with pytest.raises(ValueError):
         op.near_copies(spark.createDataFrame([(1, "a")], "doc_id long, text string"), similarity=0.5)
+
+
+def test_near_copies_compares_texts_whose_fingerprints_are_near(spark, monkeypatch):
+    """Without any band, what links by fingerprint is still found, and verified."""
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:-1], "end"])), (3, " ".join(reversed(words)))],
+                                 "doc_id bigint, text string")
+    classes = {r["_key"]: r["_class"] for r in op.near_copies(docs).collect()}
+    near = {r["_key"]: r["_class"] for r in op.near_duplicates(docs).collect()}
+    assert near[1] == near[2] != near[3]
+    plan = op.links(docs.select(op.fingerprint_udf()(F.col("text").cast("binary")).alias("x")))
+    assert plan.count() == 1 and classes[1] == classes[2] != classes[3]
+    asked = []
+    monkeypatch.setattr(op, "links", lambda prints, *more: asked.append(prints) or plan)
+    op.keep_one(docs).collect()
+    assert len(asked) == 1

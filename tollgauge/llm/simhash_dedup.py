@@ -10,8 +10,8 @@ more (two eighths). What then still meets differs in at most 8 + 3 bits, so no g
 fingerprints, whatever the data. A group gives the edges of a spanning forest of its links, not its
 pairs. Links become classes with the library's star contraction of connected components.
 
-``near_copies``, which removes near copies, takes no link from a fingerprint: its links are pairs of texts
-whose five-word shingles have been compared, and its candidates come from minima over the same shingles.
+``near_copies``, which removes near copies, compares the texts whose fingerprints are in one such class, and those
+that share minima of their five-word shingles: its links are the pairs whose shingles are alike on the whole sets.
 """
 
 from collections.abc import Iterator
@@ -387,9 +387,14 @@ def _classes(docs: DataFrame, key: str, text: str, similarity: float) -> DataFra
         raise ValueError("the bands find links of a similarity of at least 0.8")
     body = F.col(f"`{text}`")
     rows = settled(docs.select(content_id(docs).alias("_id"), F.col(f"`{key}`").alias("_key"), text_id(body).alias("_text"),
-                               _sets()(body.cast("binary")).alias("f")).select("_id", "_key", "_text", "f.*"))
-    nodes = rows.groupBy("node").agg(F.min("_text").alias("_text"), F.first("size").alias("size"),
-                                     F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+                               _sets()(body.cast("binary")).alias("f"), fingerprint_udf()(body.cast("binary")).alias("x")).select(
+                                   "_id", "_key", "_text", "f.*", "x"))
+    near_prints = components(links(rows.select("x").distinct())).select(F.col("node").alias("x"), F.col("component").alias("_linked"))
+    # the class of a text's fingerprint is the first of its keys, those of the bands follow
+    print_key = F.xxhash64(F.lit("fingerprint"), F.coalesce("_linked", "x"))
+    nodes = rows.groupBy("node").agg(F.min("_text").alias("_text"), F.first("size").alias("size"), F.first("sketch").alias("sketch"),
+                                     F.first("keys").alias("keys"), F.min("x").alias("x")).join(near_prints, "x", "left").select(
+        "node", "_text", "size", "sketch", F.concat(F.array(print_key), "keys").alias("keys"))
     shared = settled(nodes.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key").mapInPandas(
         _shared, "key bigint, node bigint"))
     known = settled(nodes.join(shared.select("node").distinct(), "node"))
@@ -423,7 +428,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     """Per row: ``_id`` (a hash of its content), ``_key`` and ``_class``, for removing near copies. Two texts are linked if at
     least ``similarity`` of their five-word shingles are common (Jaccard); every link is verified on the whole sets of shingles.
 
-    Candidates share all minima of one of ``BANDS`` bands; a pair at exactly 0.8 is missed with a
+    Candidates have fingerprints of one class, or share all minima of one of ``BANDS`` bands; a pair at exactly 0.8 is missed with a
     probability of 6 in 10,000, one at 0.85 of 3 in a million; the sketches add about 2 in 100,000 at 0.8. Texts with the same
     shingles are one node. Within a key, neighbours are verified first. A key that these links have not joined to one class is then
     compared within its group, where the sets of its members come together and a pair is compared in the first key it shares only; a large key is dealt
