@@ -10,6 +10,7 @@ from tollgauge.functions.chain import (
     hex_to_units, hex_value, is_burn, is_hex_quantity, topic_to_address)
 from tollgauge.functions.numbers import half_even, usd
 from tollgauge.operators.ranks import first_per
+from tollgauge.operators.shapes import held
 
 
 def decode_logs(logs: DataFrame, on_error: str = "drop") -> DataFrame:
@@ -19,15 +20,14 @@ def decode_logs(logs: DataFrame, on_error: str = "drop") -> DataFrame:
     unreadable amount as nothing and keeps the row.
     """
     rest = [c for c in logs.columns if c not in ("topics", "data", "blockNumber")]
-    readable = (F.size("topics") >= 3) & is_hex_quantity(F.col("blockNumber"))
-    if on_error == "drop":
-        readable = readable & is_hex_quantity(F.col("data"))
-    amount = hex_value(F.col("data")) if on_error == "drop" else hex_to_units(F.col("data"), "zero")
-    return logs.where(readable).select(
-        *rest,
-        topic_to_address(F.get("topics", F.lit(1))).alias("payer"),
-        topic_to_address(F.get("topics", F.lit(2))).alias("payee"),
-        amount.alias("units"), hex_value(F.col("blockNumber")).cast("bigint").alias("block"))
+    # read once: a filter on what a log is made of would repeat its whole making at every mention
+    read = held(logs.select(
+        *rest, F.when(F.size("topics") >= 3, F.transform(F.slice("topics", 2, 2), topic_to_address)).alias("_sides"),
+        hex_to_units(F.col("data"), on_error).alias("units"), hex_to_units(F.col("blockNumber")).alias("_block")),
+        "_sides", "units", "_block")
+    return read.where("_sides IS NOT NULL AND units IS NOT NULL AND _block IS NOT NULL").select(
+        *rest, F.get("_sides", F.lit(0)).alias("payer"), F.get("_sides", F.lit(1)).alias("payee"),
+        "units", F.col("_block").cast("bigint").alias("block"))
 
 
 def rejected_logs(logs: DataFrame) -> DataFrame:
@@ -142,9 +142,18 @@ def merge_flows(inflow: DataFrame, outflow: DataFrame, by: Sequence[str] = ()) -
 
 
 def dated_tape(transfers: DataFrame, wallets: DataFrame) -> DataFrame:
-    """The settlement tape: one row per collected date and tracked wallet. Transfers are read once and
+    """The settlement tape: one row per collected date and tracked wallet. Transfers are
     combined per (date, payee, payer) before any join, so a hot wallet's raw rows never meet."""
-    pairs = _pairs(transfers, ["date"])
+    return tape_of_dated_pairs(dated_pairs(transfers), wallets)
+
+
+def dated_pairs(transfers: DataFrame) -> DataFrame:
+    """Transfers combined per (date, payer, payee)."""
+    return _pairs(transfers, ["date"])
+
+
+def tape_of_dated_pairs(pairs: DataFrame, wallets: DataFrame) -> DataFrame:
+    """The tape from combined transfers. They are asked three times (both sides and the top five), so a caller with many keeps them written."""
     out = outflow_from(pairs, wallets).groupBy("date", "payer").agg(
         F.sum("n").alias("transfers_out"), F.sum("u").alias("units_out"))
     return merge_flows(tape_of_pairs(inflow_to(pairs, wallets), ["date"]), out, ["date"])

@@ -18,7 +18,9 @@ def inflow(t: Tables):
 
 
 def tape(t: Tables):
-    return flows.dated_tape(flows.decode_logs(t.raw_logs()), t("tracked"))
+    """The tape from transfers that are decoded once and combined: its three parts would each decode all logs again."""
+    pairs = stored(t, "transfer_pairs", lambda: flows.dated_pairs(flows.decode_logs(t.raw_logs())))
+    return flows.tape_of_dated_pairs(pairs, t("tracked"))
 
 
 def stored_tape(t: Tables):
@@ -27,8 +29,8 @@ def stored_tape(t: Tables):
 
 
 def second_chain_tape(t: Tables):
-    rows = flows.inflow_to(t("transfers").where("chain = 'solana'"), t("tracked"))
-    per = flows.tape_aggregate(rows, ["date"])
+    pairs = stored(t, "second_chain_pairs", lambda: flows.dated_pairs(t("transfers").where("chain = 'solana'")))
+    per = flows.tape_of_pairs(flows.inflow_to(pairs, t("tracked")), ["date"])
     hosts = wallet_keys(t).select("address", F.when(F.col("k") % 10 == 9, "?").otherwise(
         F.concat(F.lit("api"), F.col("k").cast("string"), F.lit(".example.com"))).alias("host"))
     return per.withColumnRenamed("payee", "address").join(hosts, "address")
