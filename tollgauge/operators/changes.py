@@ -21,9 +21,10 @@ def index_diff(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """Change per URL: new (on a new or known host), gone, or repriced."""
     old = prev.select("url", F.col("host").alias("p_host"), F.col("amount").alias("p_amount"),
                       F.lit(True).alias("p"))
-    both = cur.select("url", "host", "amount", F.lit(True).alias("c")).join(old, "url", "full_outer")
     known = prev.select("host").distinct().withColumn("known", F.lit(True))
-    rows = both.join(known, "host", "left")
+    # asked before the snapshots meet: all that is gone has no new host, and would be one key
+    new = cur.select("url", "host", "amount", F.lit(True).alias("c")).join(known, "host", "left")
+    rows = new.join(old, "url", "full_outer")
     priced = (F.col("amount") != "") & (F.col("p_amount") != "")
     change = (
         F.when(F.col("p").isNull() & F.col("known").isNull(), "new on new host")
