@@ -27,7 +27,8 @@ def grade(payloads: DataFrame, config: DataFrame) -> DataFrame:
 
     Input payloads carry their reference as ``ref``; the config has a row per category.
     """
-    rows = payloads.join(config, "category")
+    # a few categories would be a few tasks, if the answers were dealt out by them
+    rows = payloads.join(F.broadcast(config), "category")
     seen = numeric_candidates(json_nodes(rows, "payload"), lo=F.col("lo"), hi=F.col("hi"))
     valued = nearest(seen, "ref", "band", "kind")
     return valued.select(
