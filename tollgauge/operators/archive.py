@@ -52,11 +52,13 @@ def read_pointers(spark: SparkSession, path: str) -> DataFrame:
 
 def link_first(calls: DataFrame, pointers: DataFrame) -> DataFrame:
     """``calls`` with ``raw_file`` and ``raw_id`` of the response archived first for the same (url, tx), transaction null-safe."""
-    first = pointers.groupBy(F.col("url").alias("_u"), F.col("tx").alias("_t")).agg(
+    # grouped by the two parts that a null-safe comparison consists of, so that the groups meet the calls where they lie
+    part, none = F.coalesce("tx", F.lit("")), F.col("tx").isNull()
+    first = pointers.groupBy(F.col("url").alias("_u"), part.alias("_t"), none.alias("_n")).agg(
         F.min(F.struct("first", "capture_id")).alias("_p"))
-    same = (F.col("url") == F.col("_u")) & F.col("tx").eqNullSafe(F.col("_t"))
+    same = (F.col("url") == F.col("_u")) & (part == F.col("_t")) & (none == F.col("_n"))
     return calls.join(first, same, "left").withColumns(
-        {"raw_file": F.col("_p.first.file"), "raw_id": F.col("_p.capture_id")}).drop("_u", "_t", "_p")
+        {"raw_file": F.col("_p.first.file"), "raw_id": F.col("_p.capture_id")}).drop("_u", "_t", "_n", "_p")
 
 
 def link_last(calls: DataFrame, pointers: DataFrame) -> DataFrame:

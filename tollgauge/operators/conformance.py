@@ -31,7 +31,9 @@ def reconcile(first: DataFrame, second: DataFrame) -> DataFrame:
     delivery counts before a short, and a short before anything else.
     """
     weight = F.when(F.col("status") == "delivered", 0).when(F.col("status") == "short", 1).otherwise(2)
-    again = second.groupBy("url").agg(F.min(F.struct(
+    # a second call that is neither is like none, and need not be sent to the first
+    told = held(second.select("url", "status", "missing", "extra"), "status", "missing", "extra").where(F.col("status").isin("delivered", "short"))
+    again = told.groupBy("url").agg(F.min(F.struct(
         weight.alias("w"), "status", "missing", "extra")).alias("_s")).select(
         "url", *[F.col(f"_s.{c}").alias(f"_{c}") for c in ("status", "missing", "extra")])
     rows = first.join(again, "url", "left")

@@ -110,8 +110,8 @@ def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def write_ledger(df: DataFrame, path: str) -> None:
     """Canonical ledger: sorted by receipt id (a range partitioning, not one task), as a new version,
-    so that a ledger may be read, superseded and written back."""
-    write_version(df.orderBy("receipt_id"), path, "json")
+    so that a ledger may be read, superseded and written back. Packed: every line names its columns and the paths of its shape."""
+    write_version(df.orderBy("receipt_id"), path, "json", compression="gzip")
 
 
 def read_hits(spark: SparkSession, folder: str, names: str = "hits-*.json*") -> DataFrame:

@@ -42,6 +42,12 @@ def versions(spark: SparkSession, path: str) -> list[int]:
         jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Give back the disk of shuffles whose job has ended. Spark removes them when the driver collects what refers to them, which
+    with a large heap comes late: until then every step of a long job adds its shuffles to those of the steps before."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def write_version(df: DataFrame, path: str, form: str = "parquet", number: int | None = None,
                   partition_by: tuple[str, ...] = (), **options) -> str:
     """Write a table as the next version of a folder and return its place. Earlier versions stay
@@ -49,7 +55,9 @@ def write_version(df: DataFrame, path: str, form: str = "parquet", number: int |
     if number is None:
         number = max(versions(df.sparkSession, path), default=-1) + 1
     place = f"{path}/v={number}"
-    df.write.mode("overwrite").format(form).options(**options).partitionBy(*partition_by).save(place)
+    packed = {"compression": "zstd"} if form == "parquet" else {}
+    df.write.mode("overwrite").format(form).options(**(packed | options)).partitionBy(*partition_by).save(place)
+    release_shuffles(df.sparkSession)
     return place
 
 
