@@ -1,11 +1,12 @@
 """What large tables leave on disk: written tables are packed, shuffles are given back, and rows are sent once."""
 
 import glob
+import os
 import re
 
 from pyspark.sql import functions as F
 
-from tollgauge.operators import archive, conformance, receipts
+from tollgauge.operators import archive, conformance, grams, receipts
 from tollgauge.sources import landed, storage
 
 LEDGER = "receipt_id string, kind string, url string, metric string, ts string, status string, why string"
@@ -77,3 +78,33 @@ def test_second_calls_without_a_verdict_are_not_sent(spark):
         "u5": ("inconclusive", [], [])}
     assert re.search(r"Filter .*status#\d+ IN \(delivered,short\)", settled._jdf.queryExecution().optimizedPlan().toString())
     assert settled.where(F.col("conforms")).count() == 1
+
+
+def test_lists_of_pieces_keep_a_number_in_place_of_a_long_key(spark, tmp_path):
+    rows = spark.range(3000).select(F.concat(F.lit("https://api"), F.col("id"), F.lit(".example.com/v1/report")).alias("url"))
+    kept = storage.write_version(grams.numbered(rows, "row_key"), str(tmp_path / "rows"))
+    keyed = spark.read.parquet(kept)
+    place = storage.write_version(grams.postings(keyed, "row_key", F.col("url")), str(tmp_path / "lists"), partition_by=("bucket",), **grams.PACKED)
+    lists = spark.read.parquet(place).withColumn("bucket", F.col("bucket").cast("string"))
+    files = glob.glob(f"{place}/bucket=*/*.parquet")
+    assert lists.count() > 30 * 3000 and sum(os.path.getsize(f) for f in files) - 900 * len(files) < lists.count()
+    found = grams.narrowed(keyed, "row_key", grams.candidates(lists, grams.counts(lists), "api123."))
+    assert [r["url"] for r in found.collect()] == ["https://api123.example.com/v1/report"]
+
+
+def test_no_task_sorts_more_pieces_than_it_has_room_for(spark, monkeypatch):
+    monkeypatch.setattr(grams, "TASK_LETTERS", 100)
+    rows = spark.createDataFrame([(i, "abcdefghij") for i in range(95)] + [(None, None)], "id long, text string").coalesce(1)
+    lists = grams.postings(rows, "id", F.col("text"))
+    sizes = [r["count"] for r in lists.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 40 * 8 and sum(sizes) == 95 * 8
+    assert lists.rdd.mapPartitions(lambda p: [[(r["bucket"], r["piece"], r["key"]) for r in p]]).map(lambda p: p == sorted(p)).min()
+
+
+def test_pieces_hold_every_kind_of_character(spark):
+    text = "É\nb😀日\r𝔄$\\ x"
+    low = text.lower()
+    rows = spark.createDataFrame([(text,), ("ab",), ("",), (None,)], "t string")
+    got = [r[0] for r in rows.select(grams.pieces(F.col("t"))).collect()]
+    assert got == [[low[i:i + 3] for i in range(len(low) - 2)], [], [], []]
+    assert "zip_with" not in rows.select(grams.pieces(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
