@@ -38,10 +38,12 @@ def test_written_tables_are_packed_unless_a_writer_says_how(spark, tmp_path):
 def test_a_superseded_ledger_is_dealt_out_once_to_be_sorted(spark):
     old = spark.createDataFrame([receipt(1), receipt(2, "2"), receipt(2, "1"), receipt(3)], LEDGER)
     fresh = spark.createDataFrame([receipt(3, "1", "delivered"), receipt(4)], LEDGER)
-    kept = receipts.supersede(old, fresh)
+    kept = receipts.supersede(old, fresh, ranged=True)
     assert executed(kept.orderBy("receipt_id")).count("rangepartitioning(receipt_id") == 1
     assert sorted((r["receipt_id"], r["ts"], r["status"]) for r in kept.collect()) == [
         ("r1", "1", "short"), ("r2", "1", "short"), ("r3", "1", "delivered"), ("r4", "1", "short")]
+    plain = receipts.supersede(old, fresh)
+    assert "rangepartitioning" not in executed(plain) and plain.exceptAll(kept).count() == kept.exceptAll(plain).count() == 0
 
 
 def test_one_per_id_carries_only_the_columns_that_are_asked_for(spark):

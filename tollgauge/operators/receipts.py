@@ -235,21 +235,23 @@ def ledger_self_check(verified: DataFrame) -> DataFrame:
         F.count_if(claim).alias("claims"), F.count_if(claim & held).alias("claims_reproduced"))
 
 
-def supersede(ledger: DataFrame, fresh: DataFrame) -> DataFrame:
+def supersede(ledger: DataFrame, fresh: DataFrame, ranged: bool = False) -> DataFrame:
     """Fresh receipts replace the ledger's receipts of the same call; one row per id. The id does
-    not cover the time, so one id can come on two days: a fresh row wins, then the earlier one."""
+    not cover the time, so one id can come on two days: a fresh row wins, then the earlier one.
+
+    With ``ranged`` rows are dealt out by ranges of the id, as a canonical ledger is sorted, so they are not sent
+    again for that; to find the ranges, the rows are made twice."""
     old = ledger.join(fresh.select(*LOGICAL_KEY).distinct(), LOGICAL_KEY, "left_anti")
     both = fresh.select(*ledger.columns, F.lit(False).alias("_old")).unionByName(
         old.select(*ledger.columns, F.lit(True).alias("_old")))
-    return one_per_id(both, "_old").select(*ledger.columns)
+    return one_per_id(both.repartitionByRange("receipt_id") if ranged else both, "_old").select(*ledger.columns)
 
 
 def one_per_id(receipts: DataFrame, *first: str) -> DataFrame:
     """One row per receipt id: the least by the given columns, then the earliest."""
-    # ranked where a canonical ledger wants them, by ranges of the id: rows are sent once, and only the columns that are asked for
+    # ranked, so that only the columns that are asked for are sent
     place = F.row_number().over(Window.partitionBy("receipt_id").orderBy(*first, "ts"))
-    ranked = receipts.repartitionByRange("receipt_id").withColumn("_place", place)
-    return ranked.where("_place = 1").select(*receipts.columns)
+    return receipts.withColumn("_place", place).where("_place = 1").select(*receipts.columns)
 
 
 def receipt_summary(ledger: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def _(t):
     before, fresh = ledger_pair(t)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in before.schema.fields)
     landed.write_ledger(before, path)
-    landed.write_ledger(receipts.supersede(landed.read_ledger(t.spark, path, schema), fresh), path)
+    landed.write_ledger(receipts.supersede(landed.read_ledger(t.spark, path, schema), fresh, ranged=True), path)
     return landed.read_ledger(t.spark, path, schema).select("url", "status", "why")
 
 
