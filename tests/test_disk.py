@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tollgauge.operators import archive, conformance, grams, receipts
+from tollgauge.operators import archive, conformance, grams, receipts, shapes
 from tollgauge.sources import landed, storage
 
 LEDGER = "receipt_id string, kind string, url string, metric string, ts string, status string, why string"
@@ -84,7 +84,7 @@ def test_second_calls_without_a_verdict_are_not_sent(spark):
 
 def test_lists_of_pieces_keep_a_number_in_place_of_a_long_key(spark, tmp_path):
     rows = spark.range(3000).select(F.concat(F.lit("https://api"), F.col("id"), F.lit(".example.com/v1/report")).alias("url"))
-    kept = storage.write_version(grams.numbered(rows, "row_key"), str(tmp_path / "rows"))
+    kept = storage.write_version(grams.numbered(rows, "row_key", F.col("url")), str(tmp_path / "rows"))
     keyed = spark.read.parquet(kept)
     place = storage.write_version(grams.postings(keyed, "row_key", F.col("url")), str(tmp_path / "lists"), partition_by=("bucket",), **grams.PACKED)
     lists = spark.read.parquet(place).withColumn("bucket", F.col("bucket").cast("string"))
@@ -110,3 +110,27 @@ def test_pieces_hold_every_kind_of_character(spark):
     got = [r[0] for r in rows.select(grams.pieces(F.col("t"))).collect()]
     assert got == [[low[i:i + 3] for i in range(len(low) - 2)], [], [], []]
     assert "zip_with" not in rows.select(grams.pieces(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nodes_are_described_level_by_level_to_the_deepest(spark):
+    docs = ['{"a":{"b":[1,{"c":"x"}]},"d":[[],{}],"e":null}', "[[[{\"z\":true}]]]", "{}", "7", "bad", None, '{"x":"{[{["}']
+    rows = spark.createDataFrame([(d,) for d in docs], "doc string")
+    nodes = shapes.json_nodes(rows, "doc")
+    got = [r["nodes"] and [(n["path"], n["kind"], n["text"], n["depth"], n["at"]) for n in r["nodes"]] for r in nodes.collect()]
+    assert got[0] == [(".a", "object", None, 1, [0]), (".d", "array", None, 1, [1]), (".e", "null", None, 1, [2]), (".a.b", "array", None, 2, [0, 0]),
+                      (".d[0]", "array", None, 2, [1, 0]), (".d[1]", "object", None, 2, [1, 1]), (".a.b[0]", "integer", "1", 3, [0, 0, 0]),
+                      (".a.b[1]", "object", None, 3, [0, 0, 1]), (".a.b[1].c", "string", "x", 4, [0, 0, 1, 0])]
+    assert [n[0] for n in got[1]] == ["[0]", "[0][0]", "[0][0][0]", "[0][0][0].z"] and got[6] == [(".x", "string", "{[{[", 1, [0])]
+    assert not got[2] and not got[3] and not got[4] and not got[5]
+    # all nodes found so far are not bound to a variable, which would copy them at every level
+    fold = nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_append(" in fold or "array_insert(" in fold
+    assert "slice(array(lambda" not in fold
+
+
+def test_rows_of_one_key_have_one_number(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"k{i // 2}") for i in range(40)] + [(40, None)], "id int, k string")
+    kept = spark.read.parquet(storage.write_version(rows, str(tmp_path / "rows")))
+    numbered = grams.numbered(kept, "n", F.col("k")).collect()
+    assert len(numbered) == 41 and {r["n"] for r in numbered if r["k"] is None} <= {None}
+    assert len({(r["k"], r["n"]) for r in numbered if r["k"]}) == len({r["n"] for r in numbered if r["k"]}) == 20
